@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op7_bpe_round_trip
+from .langid import op4_language_id
+from .minhash import op6_minhash_near_dedup
 from .packing import op2_packing
 from .records import op8_token_records
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_packing, op7_bpe_round_trip, op8_token_records]
+    found = [op2_packing, op4_language_id, op6_minhash_near_dedup, op7_bpe_round_trip, op8_token_records]
     return {f.__name__: f for f in found}
 
 
