@@ -94,13 +94,11 @@ def edited(pieces: list[str], nodes: np.ndarray, edits: list[tuple[int, int, str
     for (s, r, _), (t, _, _) in zip(plain, plain[1:], strict=False):
         if s + r > t:
             raise ValueError("edits overlap")
-    origin = nodes.copy()  # places refer to the text before all edits
-    for start, removed, inserted in reversed(plain):
-        first, inside = leaf_at(origin, start)
-        if start == total and pieces:
-            first, inside = leaf_at(origin, max(0, total - 1))
-            inside += 1 if total else 0
-        last = leaf_at(origin, start + removed - 1)[0] if removed else first
+    for start, removed, inserted in reversed(plain):  # what stands before a later edit has kept its place
+        now = int(nodes[1, 1])
+        first, inside = leaf_at(nodes, min(start, max(0, now - 1)))
+        inside += start >= now > 0
+        last = leaf_at(nodes, start + removed - 1)[0] if removed else first
         low, high = max(0, first - 1), min(len(pieces) - 1, last + 1)
         before = "".join(pieces[low:first])
         touched = before + "".join(pieces[first : high + 1])
