@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import op7_bpe_round_trip
 from .flac import op10_flac_media
 from .langid import op4_language_id
+from .line_dedup import op3_line_dedup
 from .minhash import op6_minhash_near_dedup
 from .packing import op2_packing
 from .pii import op5_pii
@@ -17,7 +18,7 @@ from .token_counts import op9_token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_packing, op4_language_id, op5_pii, op6_minhash_near_dedup, op7_bpe_round_trip, op8_token_records, op9_token_counts, op10_flac_media]
+    found = [op2_packing, op3_line_dedup, op4_language_id, op5_pii, op6_minhash_near_dedup, op7_bpe_round_trip, op8_token_records, op9_token_counts, op10_flac_media]
     return {f.__name__: f for f in found}
 
 
