@@ -1,7 +1,82 @@
-"""The corpus pipeline (stages follow)."""
-STAGES = []
+"""From documents to packed training sequences, in five stages.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
+Parquet and read again as the next stage's ``docs``.  All but the last return the
+columns of ``documents``; ``n_chars`` follows the text.
+
+1. language_id: learns from the rows whose doc_id isn't held out, drops documents
+   whose prediction is rejected (no letter, or a score below the calibrated limit).
+2. line_dedup: removes lines that repeat, exactly or nearly, over all documents;
+   a document stays even if no line is left.
+3. minhash: of each group of near-duplicate documents (five-word shingles, 0.8)
+   the smallest doc_id stays.  Empty documents link with nothing.
+4. pii: replaces personal data by its kind.
+5. packing: packs all texts into sequences of at most 4096 tokens.
+
+Null and empty texts, nulls in any column, repeated rows and empty tables pass as
+the stages' operators define.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kinefold.llm import langid, line_dedup, minhash, packing, pii
+from kinefold.llm.common import publish, table
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+SIMILARITY = 80
+SHINGLE_WORDS = 5
+
+
+def _documents(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = docs.select(*COLUMNS)
+    model = langid.fit(langid.learnable(docs))
+    return langid.predict(docs, model).where("not rejected").select(*COLUMNS)
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _documents(line_dedup.dedup_lines(docs.select(*COLUMNS), SIMILARITY))
+
+
+def minhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = docs.select(*COLUMNS)
+    found = minhash.near_duplicates(docs, words=SHINGLE_WORDS, percent=SIMILARITY)
+    gone = publish(found.where("not kept").select(F.col("doc_id").alias("gone")).distinct(), "pipeline-gone")
+    few = gone.count() <= minhash.BROADCAST_ROWS
+    return docs.join(F.broadcast(gone) if few else gone.hint("shuffle_hash"), F.col("doc_id") == F.col("gone"), "left_anti")
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = docs.select(*COLUMNS)
+    return _documents(pii.redact(docs, pii.fit(docs)))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup_stage),
+    ("minhash", minhash_stage),
+    ("pii", pii_stage),
+    ("packing", packing_stage),
+]
+
+#: SQL can express neither the trained stages nor best fit.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = publish(docs, f"pipeline-{name}")
+    return docs

@@ -1,4 +1,8 @@
-"""The queries of this subpackage and their SQL."""
+"""The queries of this subpackage and their SQL.
+
+No SQL is given: the operators are trained, sequential or iterative, or digest library results.
+Their tests compare them with brute force.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +15,7 @@ from .flac import op10_flac_media
 from .langid import op4_language_id
 from .line_dedup import op3_line_dedup
 from .minhash import op6_minhash_near_dedup
+from .neardup_vectors import op1_embedding_near_dedup
 from .packing import op2_packing
 from .pii import op5_pii
 from .records import op8_token_records
@@ -18,7 +23,7 @@ from .token_counts import op9_token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_packing, op3_line_dedup, op4_language_id, op5_pii, op6_minhash_near_dedup, op7_bpe_round_trip, op8_token_records, op9_token_counts, op10_flac_media]
+    found = [op1_embedding_near_dedup, op2_packing, op3_line_dedup, op4_language_id, op5_pii, op6_minhash_near_dedup, op7_bpe_round_trip, op8_token_records, op9_token_counts, op10_flac_media]
     return {f.__name__: f for f in found}
 
 
