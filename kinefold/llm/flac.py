@@ -308,6 +308,8 @@ def decode(streams: list[bytes]) -> list[np.ndarray]:
     A frame's end is known once it is decoded, so the streams advance together, a frame each at a time; long
     streams are entered at every point of their seek tables at once.
     """
+    if not streams:
+        return []
     heads = [parse(s) for s in streams]
     flat = np.frombuffer(b"".join(streams), np.uint8)
     size = np.fromiter(map(len, streams), np.int64, len(streams))
