@@ -23,7 +23,14 @@ FRAMES = T.StructType(
         T.StructField("state", _VECTOR),
     ]
 )
-IMAGES = T.StructType.fromDDL("episode_index long, frame_index long, camera string, h int, w int, c int, pixels binary")
+IMAGES = T.StructType(
+    [
+        *[T.StructField(name, T.LongType()) for name in ("episode_index", "frame_index")],
+        T.StructField("camera", T.StringType()),
+        *[T.StructField(name, T.IntegerType()) for name in ("h", "w", "c")],
+        T.StructField("pixels", T.BinaryType()),
+    ]
+)
 
 
 def read_frames(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
