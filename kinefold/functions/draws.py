@@ -50,10 +50,13 @@ def normal_sql(*parts: str | int) -> str:
     return f"(sqrt(-2.0::DOUBLE*ln(1.0::DOUBLE-{uniform_sql(*parts, "'u1'")}))*cos(2.0::DOUBLE*3.141592653589793::DOUBLE*{uniform_sql(*parts, "'u2'")}))"
 
 
+ALMOST_HALF = 0.5001
+
+
 def rounded(value: Column, digits: int = 6) -> Column:
-    """Rounding that both engines do alike."""
-    return F.floor(value * 10.0**digits + 0.5) / 10.0**digits
+    """Rounding that both engines do alike: decimal data sit on exact halves, so the cut lies a little below."""
+    return F.floor(value * 10.0**digits + ALMOST_HALF) / 10.0**digits
 
 
 def rounded_sql(value: str, digits: int = 6) -> str:
-    return f"(floor(({value})*{10**digits}.0::DOUBLE + 0.5::DOUBLE)/{10**digits}.0::DOUBLE)"
+    return f"(floor(({value})*{10**digits}.0::DOUBLE + {ALMOST_HALF}::DOUBLE)/{10**digits}.0::DOUBLE)"
