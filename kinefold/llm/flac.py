@@ -59,6 +59,8 @@ def _crc_table(bits: int, poly: int) -> np.ndarray:
 def checksums(flat: np.ndarray, begin: np.ndarray, size: np.ndarray, bits: int) -> np.ndarray:
     """CRC-8 (polynomial 0x07) or CRC-16 (0x8005) of runs of bytes, a byte of every run at a time."""
     each = _crc_table(bits, 0x07 if bits == 8 else 0x8005)
+    if len(begin) and int((begin + size).max()) > len(flat):
+        raise ValueError("a stream ends within a frame")
     out, order = np.zeros(len(begin), np.int64), np.argsort(-size, kind="stable")
     begin, size, crc = begin[order], size[order], np.zeros(len(begin), np.int64)
     live = len(begin) - np.searchsorted(size[::-1], np.arange(1, int(size.max(initial=0)) + 1))
