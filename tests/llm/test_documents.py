@@ -171,6 +171,47 @@ def test_added_spans_need_evidence(spark):
         assert [tuple(x) for x in r["base_spans"]] == base(r["text"]) and set(r["base_spans"]) <= set(r["spans"])
 
 
+def test_disguised_spans_are_added(spark):
+    rnd = random.Random(12)
+    digit = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
+
+    def card(n):
+        head = rnd.choice("456") + digit(n - 2)
+        return next(head + c for c in "0123456789" if luhn(head + c))
+
+    def parted(d, by):
+        return by.join(d[k : k + 4] for k in range(0, len(d), 4))
+
+    planted, rows = {}, []
+    for i in range(2400):
+        kind = i % 8
+        lead, span = {
+            0: ("", f"{words(rnd, 1)} [at] {words(rnd, 1)} [dot] org"),
+            1: ("host ", f"{rnd.randint(1, 223)}.{rnd.randint(0, 255)}.{rnd.randint(0, 255)}[.]{rnd.randint(1, 254)}"),
+            2: ("", parted(card(16), rnd.choice("./"))),
+            3: ("card ", card(13)),
+            4: ("call ", f"({rnd.randint(200, 999)}) {digit(3)}-{digit(4)}"),
+            5: ("", card(16)),
+            6: ("order ", digit(rnd.randint(9, 13))),
+            7: ("part ", f"{rnd.randint(256, 999)}.{digit(3)}[.]{digit(3)}[.]{rnd.randint(256, 999)}"),
+        }[kind]
+        before = f"{words(rnd, 3)}, {lead}"
+        rows.append((i, f"{before}{span}, {words(rnd, 3)}"))
+        if kind < 5:
+            planted[i] = (len(before), (0, 1, 2, 2, 3)[kind], len(before) + len(span))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    trees = pii.fit(docs)
+    assert trees.kinds() == list(pii.KINDS)
+    got = {r["doc_id"]: (r["base_spans"], {tuple(x) for x in r["spans"]}) for r in pii.with_spans(docs, trees).collect()}
+    n_added = sum(len(spans) - len(b) for b, spans in got.values())
+    assert n_added > 0
+    for kind in range(5):
+        mine = [i for i in planted if i % 8 == kind]
+        assert sum(planted[i] in got[i][1] for i in mine) >= 0.9 * len(mine), kind
+    noise = [i for i, _ in rows if i % 8 in (6, 7)]
+    assert sum(bool(got[i][1]) for i in noise) <= 0.02 * len(noise)
+
+
 def test_language_id(spark):
     rnd = random.Random(5)
     alphabets = {"aa": "abcde", "bb": "fghij", "cc": "клмно"}
