@@ -9,14 +9,20 @@ members, so exact copies of any number are one node.
 2. NN-descent: each node keeps its best neighbours.  In a round every node brings
    its neighbours and reverse neighbours together, whose similarities improve
    their lists.  Lists that are full of links (saturated) are doubled, up to
-   ``LARGEST`` entries.  Rounds end when the links stop growing.
-3. Edges at the threshold give candidate components.  Each is compared in full,
+   ``LARGEST`` entries.  Lists only steer the search: of all pairs compared at a
+   node a spanning forest of the links is kept beside them, so no link that was
+   computed is lost to a full list.  Rounds end when the links stop growing.
+   Nodes whose lists are full of links can hide other groups; one representative
+   of each such component is searched again among those of others, and two
+   components meet if members could link by their distance from it.
+3. Edges at the threshold and these meetings give candidate components.  Each is compared in full,
    cut into blocks of ``BLOCK`` vectors, a pair of blocks a group: this counts
    all links in double precision, also those beyond the longest list, and keeps
    a spanning forest of true links, which gives the final components.
-4. Audit: a bounded sample of nodes is compared with all nodes by brute force; if
-   fewer than ``RECALL`` of the sample's links lie within components, descent
-   goes on with new seeds, up to ``ATTEMPTS`` times.
+4. Audit: a sample of nodes is compared with all nodes by brute force; it grows
+   until it holds ``AUDIT_LINKS`` links, all nodes or ``AUDIT_LARGEST`` nodes.  If
+   fewer than ``RECALL`` of its links lie within components, descent goes on with
+   new seeds, up to ``ATTEMPTS`` times; if that doesn't help, an error is raised.
 
 Null vectors, vectors with null or non-finite components, zero or empty vectors,
 null labels and null ids link with nothing.  Repeated rows of one vec_id count as
@@ -46,6 +52,9 @@ LARGEST = 24
 ROUNDS = 4
 BLOCK = 512
 AUDIT = 256
+AUDIT_LINKS = 400
+AUDIT_LARGEST = 4096
+AUDIT_SLICE = 512
 RECALL = 0.995
 ATTEMPTS = 3
 #: Similarities in descent are in single precision; what they may be off near the threshold.
@@ -108,6 +117,18 @@ def _grouped(keys: list[str], each: Callable[[list[np.ndarray], pa.RecordBatch],
     return run
 
 
+def _connected(link: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix of links, the smallest position that links lead to."""
+    label = np.arange(len(link))
+    while True:
+        reach = np.where(link, label[None, :], len(link)).min(1)
+        new = np.minimum(label, reach)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
 def _vectors(rows: pa.Table, a: int, b: int, kind=np.float32) -> np.ndarray:
     raw = rows.column("vector").slice(a, b - a).to_pylist()
     return np.frombuffer(b"".join(raw), kind).reshape(b - a, -1)
@@ -152,23 +173,32 @@ def seeds(nodes: DataFrame, count: int, attempt: int) -> DataFrame:
 
 
 def best(edges: DataFrame, lengths: DataFrame | None) -> DataFrame:
-    """The best neighbours of each node: NEIGHBOURS, or the length given for the node."""
-    each = edges.groupBy("u", "v").agg(F.max("sim").alias("sim"))
-    ranked = each.withColumn("place", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("sim"), "v"))).where(F.col("place") <= LARGEST)
+    """Edges with ``listed`` for the best neighbours of each node: NEIGHBOURS, or the length given for the node.
+
+    Edges with ``link`` stay whether listed or not.
+    """
+    each = edges.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.max("link").alias("link"))
+    ranked = each.withColumn("place", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("sim"), "v")))
     if lengths is None:
-        return ranked.where(F.col("place") <= NEIGHBOURS).drop("place")
-    return ranked.join(lengths, "u", "left").where(F.col("place") <= F.coalesce("length", F.lit(NEIGHBOURS))).select("u", "v", "sim")
+        ranked = ranked.withColumn("listed", F.col("place") <= NEIGHBOURS)
+    else:
+        ranked = ranked.join(lengths, "u", "left").withColumn("listed", F.col("place") <= F.coalesce("length", F.lit(NEIGHBOURS)))
+    return ranked.where("listed or link").select("u", "v", "sim", "link", "listed")
 
 
 def lengths(graph: DataFrame, threshold: float) -> DataFrame:
     """(u, length, worst): twice the length for saturated lists, and each list's last similarity."""
-    state = graph.groupBy("u").agg(F.count("*").alias("n"), F.min("sim").alias("worst"))
+    state = graph.where("listed").groupBy("u").agg(F.count("*").alias("n"), F.min("sim").alias("worst"))
     full = F.col("worst") >= threshold
     return state.select("u", F.when(full, F.least(F.col("n") * 2, F.lit(LARGEST))).otherwise(F.greatest("n", F.lit(NEIGHBOURS))).cast("int").alias("length"), F.when(full | (F.col("n") < NEIGHBOURS), -2.0).otherwise(F.col("worst")).alias("worst"))
 
 
-def descend(nodes: DataFrame, graph: DataFrame, state: DataFrame) -> DataFrame:
-    """Candidate edges (u, v, sim) from neighbours of neighbours, both ways, where they improve a list."""
+def descend(nodes: DataFrame, graph: DataFrame, state: DataFrame, threshold: float) -> DataFrame:
+    """Candidate edges (u, v, sim, link) from neighbours of neighbours, both ways, where they improve a list.
+
+    Besides, edges with ``link`` connect, at each node, what pairs at the threshold connect there.
+    """
+    graph = graph.where("listed")
     back = graph.select(F.col("v").alias("via"), F.col("u").alias("id"), "sim")
     ranked = back.withColumn("place", F.row_number().over(Window.partitionBy("via").orderBy(F.desc("sim"), "id"))).where(F.col("place") <= LARGEST)
     around = graph.select(F.col("u").alias("via"), F.col("v").alias("id")).unionByName(ranked.select("via", "id")).distinct()
@@ -178,7 +208,7 @@ def descend(nodes: DataFrame, graph: DataFrame, state: DataFrame) -> DataFrame:
 
     def each(keys: list[np.ndarray], held: pa.Table) -> Iterator[pa.RecordBatch]:
         ids, worst = held.column("id").to_numpy(), held.column("worst").to_numpy()
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        out: list[tuple[np.ndarray, ...]] = []
         for a, b in zip(*_runs(keys), strict=True):
             if b - a < 2:
                 continue
@@ -186,14 +216,52 @@ def descend(nodes: DataFrame, graph: DataFrame, state: DataFrame) -> DataFrame:
             sim = x @ x.T
             np.fill_diagonal(sim, -3)
             i, j = np.nonzero(sim > worst[a:b, None])
-            out.append((ids[a + i], ids[a + j], sim[i, j].astype(np.float64)))
+            out.append((ids[a + i], ids[a + j], sim[i, j].astype(np.float64), np.zeros(len(i), np.int64)))
+            link = sim >= threshold - SLACK
+            if link.any():
+                label = _connected(link)
+                i = np.flatnonzero(label != np.arange(b - a))
+                out.append((ids[a + i], ids[a + label[i]], sim[i, label[i]].astype(np.float64), np.ones(len(i), np.int64)))
         if out:
-            u, v, s = (np.concatenate(c) for c in zip(*out, strict=True))
+            u, v, s, kept = (np.concatenate(c) for c in zip(*out, strict=True))
             # the same pair meets at several nodes
-            first = np.unique(np.stack([u, v], 1), axis=0, return_index=True)[1]
-            yield pa.RecordBatch.from_arrays([pa.array(u[first]), pa.array(v[first]), pa.array(s[first])], ["u", "v", "sim"])
+            first = np.unique(np.stack([u, v, kept], 1), axis=0, return_index=True)[1]
+            yield pa.RecordBatch.from_arrays([pa.array(u[first]), pa.array(v[first]), pa.array(s[first]), pa.array(kept[first] > 0)], ["u", "v", "sim", "link"])
+
+    return rows.repartition("via").sortWithinPartitions("via", "id").mapInArrow(_grouped(["via"], each), "u long, v long, sim double, link boolean").where("u <> v")
+
 
-    return rows.repartition("via").sortWithinPartitions("via", "id").mapInArrow(_grouped(["via"], each), "u long, v long, sim double").where("u <> v")
+def _linking(graph: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): edges that connect candidates."""
+    return graph.where(F.col("link") | (F.col("sim") >= threshold - SLACK)).select(F.col("u").alias("a"), F.col("v").alias("b"))
+
+
+def meetings(nodes: DataFrame, graph: DataFrame, candidates: DataFrame, threshold: float, attempt: int) -> DataFrame | None:
+    """(a, b): representatives of components with full lists, of which members could link; None if there are no two."""
+    lists = graph.where("listed").groupBy(F.col("u").alias("node")).agg(F.count("*").alias("size"), F.min("sim").alias("worst"))
+    full = lists.where((F.col("size") >= NEIGHBOURS) & (F.col("worst") >= threshold - SLACK)).select("node")
+    held = publish(candidates.join(full, "node").join(nodes.withColumnRenamed("id", "node"), "node").select("component", "node", "vector"), "vector-full")
+    chosen = publish(held.groupBy("component").agg(F.min("node").alias("id")), "vector-chosen")
+    count = chosen.count()
+    if count < 2:
+        return None
+    reps = publish(nodes.join(chosen.select("id"), "id"), "vector-reps")
+    pairs = held.join(chosen.join(reps.select("id", F.col("vector").alias("other")), "id"), "component").select("id", "vector", "other")
+
+    def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sims = [float(np.dot(np.frombuffer(x, np.float32), np.frombuffer(y, np.float32))) for x, y in zip(batch.column("vector").to_pylist(), batch.column("other").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sims, pa.float64())], ["id", "sim"])
+
+    angle = lambda sim: F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), sim)))
+    radius = publish(pairs.mapInArrow(apart, "id long, sim double").groupBy("id").agg(angle(F.min("sim") - SLACK).alias("radius")), "vector-radius")
+    edges = publish(seeds(reps, count, attempt).withColumn("link", F.lit(False)), "vector-rep-edges")
+    for _ in range(2):
+        around = publish(best(edges, None), "vector-rep-graph")
+        edges = publish(edges.unionByName(descend(reps, around, lengths(around, 2.0), 2.0)).dropDuplicates(["u", "v"]), "vector-rep-edges")
+    of = lambda n: radius.select(F.col("id").alias(n), F.col("radius").alias(f"r{n}"))
+    near = edges.join(of("u"), "u").join(of("v"), "v").where(angle(F.col("sim") + SLACK) <= F.lit(math.acos(threshold - SLACK)) + F.col("ru") + F.col("rv"))
+    return near.select(F.col("u").alias("a"), F.col("v").alias("b"))
 
 
 def exact_links(nodes: DataFrame, candidates: DataFrame, threshold: float) -> DataFrame:
@@ -219,15 +287,7 @@ def exact_links(nodes: DataFrame, candidates: DataFrame, threshold: float) -> Da
             if keys[1][a] != keys[2][a]:
                 link &= block[a:b, None] != block[None, a:b]
             count = link @ many
-            label = np.arange(b - a)
-            while True:  # smallest position that links lead to
-                reach = np.where(link, label[None, :], b - a).min(1)
-                new = np.minimum(label, reach)
-                new = new[new]
-                if (new == label).all():
-                    break
-                label = new
-            out.append((own, own[label], count))
+            out.append((own, own[_connected(link)], count))
         a, b, c = (np.concatenate(x) for x in zip(*out, strict=True))
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(c.astype(np.int64))], ["a", "b", "links"])
 
@@ -235,12 +295,21 @@ def exact_links(nodes: DataFrame, candidates: DataFrame, threshold: float) -> Da
     return grouped.mapInArrow(_grouped(["component", "i", "j"], each), "a long, b long, links long")
 
 
-def audit(nodes: DataFrame, candidates: DataFrame, threshold: float, seed: int) -> float:
-    """The share of a bounded sample's links, by brute force against all nodes, that lie within candidate components."""
+def audit(nodes: DataFrame, candidates: DataFrame, threshold: float, seed: int, count: int) -> tuple[float, int]:
+    """Of a sample's links, by brute force against all nodes, the share within candidate components, and their number."""
+    drawn = AUDIT
+    while True:
+        found, links = _audited(nodes, candidates, threshold, seed, drawn)
+        if links >= AUDIT_LINKS or drawn >= min(count, AUDIT_LARGEST):
+            return (found / links if links else 1.0), links
+        drawn *= 4
+
+
+def _audited(nodes: DataFrame, candidates: DataFrame, threshold: float, seed: int, drawn: int) -> tuple[int, int]:
     spark = nodes.sparkSession
-    sample = nodes.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(AUDIT).select("id", "space", "unit").collect()
+    sample = nodes.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(drawn).select("id", "space", "unit").collect()
     if not sample:
-        return 1.0
+        return 0, 0
     shared = spark.sparkContext.broadcast([(r["id"], r["space"], bytes(r["unit"])) for r in sample])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,15 +322,18 @@ def audit(nodes: DataFrame, candidates: DataFrame, threshold: float, seed: int)
                 mine = [q for q in shared.value if q[1] == s]
                 here = np.flatnonzero(space == s)
                 x = np.frombuffer(b"".join([units[k] for k in here]), np.float64).reshape(len(here), -1)
-                q = np.frombuffer(b"".join([m[2] for m in mine]), np.float64).reshape(len(mine), -1)
-                i, j = np.nonzero(q @ x.T >= threshold)
-                a, b = np.array([m[0] for m in mine], np.int64)[i], ids[here[j]]
-                yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], ["a", "b"])
+                for k in range(0, len(mine), AUDIT_SLICE):
+                    some = mine[k : k + AUDIT_SLICE]
+                    q = np.frombuffer(b"".join([m[2] for m in some]), np.float64).reshape(len(some), -1)
+                    i, j = np.nonzero(q @ x.T >= threshold)
+                    a, b = np.array([m[0] for m in some], np.int64)[i], ids[here[j]]
+                    yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], ["a", "b"])
 
     true = nodes.select("id", "space", "unit").mapInArrow(run, "a long, b long")
     of = lambda n: candidates.select(F.col("node").alias(n), F.col("component").alias(f"c{n}"))
     both = true.join(of("a"), "a", "left").join(of("b"), "b", "left").agg(F.count("*").alias("n"), F.sum((F.col("ca") == F.col("cb")).cast("long")).alias("found")).first()
-    return 1.0 if not both["n"] else (both["found"] or 0) / both["n"]
+    shared.unpersist()
+    return both["found"] or 0, both["n"]
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
@@ -273,22 +345,27 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     count = nodes.count()
     links, known, candidates = -1, None, None
     for attempt in range(ATTEMPTS):
-        edges = seeds(nodes, count, attempt)
+        edges = seeds(nodes, count, attempt).withColumn("link", F.col("sim") >= threshold - SLACK)
         graph = publish(best(edges if known is None else edges.unionByName(known), None), "vector-graph")
         for _ in range(ROUNDS):
             state = publish(lengths(graph, threshold), "vector-lists")
             path = new_path(spark, "vector-graph")
-            graph = publish(best(graph.unionByName(descend(nodes, graph, state)), state.select("u", "length")), "vector-graph", path)
-            now = graph.where(F.col("sim") >= threshold - SLACK).count()
+            graph = publish(best(graph.drop("listed").unionByName(descend(nodes, graph, state, threshold)), state.select("u", "length")), "vector-graph", path)
+            now = _linking(graph, threshold).count()
             if now == links:
                 break
             links = now
-        known = graph
-        candidates = publish(components(graph.where(F.col("sim") >= threshold - SLACK).select(F.col("u").alias("a"), F.col("v").alias("b")), "vector-components"), "vector-candidates")
-        recall = audit(nodes, candidates, threshold, attempt)
-        log.info("attempt %d: %d link entries, audited recall %.4f", attempt, links, recall)
+        known = graph.select("u", "v", "sim", (F.col("link") | (F.col("sim") >= threshold - SLACK)).alias("link"))
+        candidates = publish(components(_linking(graph, threshold), "vector-components"), "vector-candidates")
+        met = meetings(nodes, graph, candidates, threshold, attempt)
+        if met is not None:
+            candidates = publish(components(_linking(graph, threshold).unionByName(met), "vector-components"), "vector-candidates")
+        recall, audited = audit(nodes, candidates, threshold, attempt, count)
+        log.info("attempt %d: %d link entries, audited recall %.4f of %d links", attempt, links, recall, audited)
         if recall >= RECALL:
             break
+    else:
+        raise RuntimeError(f"only {recall:.4f} of {audited} audited links were found in {ATTEMPTS} attempts, fewer than {RECALL}")
     exact = publish(exact_links(nodes, candidates, threshold), "vector-exact")
     final = components(exact.where("a <> b").select("a", "b"), "vector-components")
     counts = exact.groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("others"))

@@ -267,6 +267,31 @@ def test_vectors_against_brute_force(spark):
     assert neardup_vectors.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_full_lists_hide_no_links(spark):
+    rng = np.random.default_rng(4)
+    first = rng.normal(size=64)
+    first /= np.linalg.norm(first)
+    aside = rng.normal(size=64)
+    aside -= aside @ first * first
+    second = 0.9815 * first + np.sqrt(1 - 0.9815**2) * aside / np.linalg.norm(aside)
+    x = np.concatenate([c + rng.normal(size=(60, 64)) * 0.001 for c in (first, second)] + [rng.normal(size=(40, 64))]).astype(np.float32)
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    link = unit @ unit.T >= 0.98
+    np.fill_diagonal(link, False)
+    assert link[:60, 60:120].all()
+    docs = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int").repartition(3)
+    got = {r["vec_id"]: r for r in neardup_vectors.near_duplicates(docs).collect()}
+    want = groups_of(dict(enumerate(range(160))), lambda a, b: link[a, b])
+    assert {i: (r["n_links"], r["component_id"]) for i, r in got.items()} == {i: (int(link[i].sum()), want[i]) for i in range(160)}
+
+
+def test_audit_failure_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(neardup_vectors, "audit", lambda *a: (0.5, 10))
+    docs = spark.createDataFrame([(i, [1.0, i / 100], 1) for i in range(5)], "vec_id long, embedding array<double>, label int")
+    with pytest.raises(RuntimeError, match="audited links"):
+        neardup_vectors.near_duplicates(docs)
+
+
 def test_flac_round_trip():
     rng = np.random.default_rng(2)
     payloads = [bytes(rng.integers(0, 256, n, dtype=np.uint8)) for n in (1, 2, 3, 5, 64, 1023, 1024, 1025, 9000)]
