@@ -41,7 +41,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _documents(line_dedup.dedup_lines(docs.select(*COLUMNS), SIMILARITY))
+    return _documents(line_dedup.dedup_lines(docs.select(*COLUMNS), SIMILARITY, cut=line_dedup.every_shingle))
 
 
 def minhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

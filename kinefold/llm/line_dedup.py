@@ -1,6 +1,9 @@
 """Fuzzy line dedup by MinHash, in DataFrame functions only (operator 3).
 
-Lines are compared as lower-cased, trimmed text.  A line's shingles are the
+Lines are compared as lower-cased, trimmed text.  The query and the pipeline take
+all ``CHARACTERS`` characters in a row as a line's shingles, or the whole line if
+it is shorter (:func:`every_shingle`).  The default of :func:`dedup_lines` is a
+sparser choice, which loses near copies of short lines: the
 ``SHINGLE`` characters from each anchor on, where the line's start follows its end
 after a line feed, so that no shingle is short and common; anchors are the starts
 of words and, in long words or scripts without spaces, every ``STRIDE``-th
@@ -8,8 +11,9 @@ character of a run.  The similarity is the Jaccard index of the two sets of
 distinct shingles.
 
 1. One map over the documents gives, for each line that isn't blank, a 64-bit key
-   of the line and ``BANDS * ROWS`` minima.  Later steps read this table; texts are
-   read again only for lines that need verification and for the result.
+   of the line.  Equal lines are grouped, and each distinct line gets ``BANDS *
+   ROWS`` minima.  Later steps read these two tables; texts are read again only for
+   lines that need verification and for the result.
 2. In each bucket the smallest key meets all others; lines of buckets that then
    still hold several components meet across components if at least
    ``LEAST_AGREEMENT`` of their minima agree.  So a group of similar lines costs as
@@ -30,6 +34,7 @@ empty table gives an empty table.  All columns are carried through.
 from __future__ import annotations
 
 import random
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +42,7 @@ from pyspark.sql import functions as F
 from .common import publish, table
 from .components import components
 
+CHARACTERS = 5
 SHINGLE, STRIDE = 12, 8
 BANDS, ROWS = 8, 2
 #: Of 16 minima, two lines of similarity 0.8 agree in fewer than 7 with probability 2e-4.
@@ -53,8 +59,14 @@ def normal(line: Column) -> Column:
     return F.lower(F.trim(line, F.lit(" \t\r\f\x0b")))
 
 
+def every_shingle(line: Column) -> Column:
+    """All runs of CHARACTERS characters of a normal line, with repeats; a shorter line is its own shingle."""
+    runs = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{CHARACTERS}}}))."), F.lit(1))
+    return F.when(F.length(line) < CHARACTERS, F.array(line)).otherwise(runs)
+
+
 def shingles(line: Column) -> Column:
-    """All shingles of a normal line, with repeats."""
+    """The shingles at the anchors of a normal line, with repeats."""
     round_ = F.concat(line, F.lit("\n"), F.rpad(F.left(line, F.lit(SHINGLE - 1)), SHINGLE - 1, "\n"))
     return F.regexp_extract_all(round_, F.lit(ANCHORED), F.lit(1))
 
@@ -75,13 +87,13 @@ def _key(line: Column) -> Column:
     return F.xxhash64(line, F.length(line)).alias("key")
 
 
-def described(docs: DataFrame) -> DataFrame:
-    """(doc, pos, key, m) of all lines that aren't blank; m holds 32 bits of each minimum."""
-    each = occurrences(docs).select("doc", "pos", _key(F.col("line")), F.explode(shingles(F.col("line"))).alias("s"))
-    hashed = each.select("doc", "pos", "key", F.xxhash64("s").alias("h"))
-    # a line's shingles stand together in one task, so what is shuffled is one row per line
-    minima = hashed.groupBy("doc", "pos", "key").agg(*[_minimum(salt).alias(f"m{k}") for k, salt in enumerate(SALTS)])
-    return minima.select("doc", "pos", "key", F.array(*[f"m{k}" for k in range(len(SALTS))]).alias("m"))
+def described(docs: DataFrame, cut: Callable[[Column], Column] = shingles) -> DataFrame:
+    """(key, m) of all distinct lines that aren't blank; m holds 32 bits of each minimum."""
+    lines = occurrences(docs).select(_key(F.col("line")), "line").groupBy("key").agg(F.first("line").alias("line"))
+    hashed = lines.select("key", F.explode(cut(F.col("line"))).alias("s")).select("key", F.xxhash64("s").alias("h"))
+    # lines are dealt by key already, so minima need no further shuffle
+    minima = hashed.groupBy("key").agg(*[_minimum(salt).alias(f"m{k}") for k, salt in enumerate(SALTS)])
+    return minima.select("key", F.array(*[f"m{k}" for k in range(len(SALTS))]).alias("m"))
 
 
 def _buckets(m: Column) -> Column:
@@ -92,23 +104,23 @@ def _small(df: DataFrame, count: int) -> DataFrame:
     return F.broadcast(df) if count <= BROADCAST_ROWS else df.hint("shuffle_hash")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, percent: int, cut: Callable[[Column], Column]) -> DataFrame:
     """Pairs of keys whose whole shingle sets have 100 * intersection >= percent * union."""
     keys = publish(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "line-keys")
     lines = occurrences(docs).select(_key(F.col("line")), "line").join(_small(keys, keys.count()), "key", "left_semi")
-    sets = publish(lines.dropDuplicates(["key"]).select("key", F.array_distinct(F.transform(shingles(F.col("line")), lambda x: F.xxhash64(x))).alias("shingles")), "line-sets")
+    sets = publish(lines.dropDuplicates(["key"]).select("key", F.array_distinct(F.transform(cut(F.col("line")), lambda x: F.xxhash64(x))).alias("shingles")), "line-sets")
     both = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
-def links(docs: DataFrame, told: DataFrame, percent: int) -> DataFrame:
+def links(docs: DataFrame, told: DataFrame, percent: int, cut: Callable[[Column], Column]) -> DataFrame:
     """(node, component) of all keys that are linked with another key."""
     bands = told.select("key", _buckets(F.col("m")))
     hubs = publish(bands.groupBy("bucket").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a <> z").select("bucket", "a"), "line-buckets")
     shared = publish(bands.join(_small(hubs, hubs.count()), "bucket").groupBy("bucket", F.col("key").alias("b")).agg(F.min("a").alias("a")), "line-shared")
     near = publish(shared.where("a <> b").select("a", "b").distinct(), "line-pairs")
-    first = publish(_verified(docs, near, percent), "line-links")
+    first = publish(_verified(docs, near, percent, cut), "line-links")
     known = publish(components(first, "line-components"), "line-known")
     rows = shared.select("bucket", F.col("b").alias("node")).join(known, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     mixed = publish(rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket"), "line-mixed")
@@ -122,28 +134,29 @@ def links(docs: DataFrame, told: DataFrame, percent: int) -> DataFrame:
     l, r = left.alias("l"), right.alias("r")
     meet = (F.col("l.bucket") == F.col("r.bucket")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (agree >= LEAST_AGREEMENT)
     rest = l.join(r, meet).select("a", "b").distinct().join(near, ["a", "b"], "left_anti")
-    second = publish(_verified(docs, publish(rest, "line-rest"), percent), "line-links")
+    second = publish(_verified(docs, publish(rest, "line-rest"), percent, cut), "line-links")
     return components(first.unionByName(second), "line-components")
 
 
-def removals(docs: DataFrame, percent: int = 80) -> DataFrame:
+def removals(docs: DataFrame, percent: int = 80, cut: Callable[[Column], Column] = shingles) -> DataFrame:
     """(doc, dropped): the numbers of the lines to remove, for each document that has any."""
-    told = publish(described(docs), "line-table")
+    told = publish(described(docs, cut), "line-table")
+    places = publish(occurrences(docs).select("doc", "pos", _key(F.col("line"))), "line-places")
     place = (F.col("doc").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")).cast("decimal(38,0)")
-    owners = publish(told.groupBy("key").agg(F.min(place).alias("own"), F.count("*").alias("n")), "line-owners")
-    found = publish(links(docs, told, percent).withColumnRenamed("node", "key"), "line-linked")
+    owners = publish(places.groupBy("key").agg(F.min(place).alias("own"), F.count("*").alias("n")), "line-owners")
+    found = publish(links(docs, told, percent, cut).withColumnRenamed("node", "key"), "line-linked")
     best = found.join(owners, "key").groupBy("component").agg(F.min("own").alias("best"))
     linked = found.join(publish(best, "line-best"), "component").select("key", "best")
     # keys with something to remove, and the one place that stays
     loose = owners.where("n > 1").select("key", "own").join(linked, "key", "left_anti").select("key", F.col("own").alias("best"))
     decided = publish(linked.unionByName(loose), "line-decided")
-    gone = told.select("key", "doc", "pos", place.alias("place")).join(_small(decided, decided.count()), "key").where("place <> best")
+    gone = places.select("key", "doc", "pos", place.alias("place")).join(_small(decided, decided.count()), "key").where("place <> best")
     return gone.groupBy("doc").agg(F.array_sort(F.collect_set("pos")).alias("dropped"))
 
 
-def dedup_lines(docs: DataFrame, percent: int = 80, counts: tuple[str, str] | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, percent: int = 80, counts: tuple[str, str] | None = None, cut: Callable[[Column], Column] = shingles) -> DataFrame:
     """Remove repeated lines from the column text; optionally add the numbers of lines before and after."""
-    gone = publish(removals(docs, percent), "line-removals")
+    gone = publish(removals(docs, percent, cut), "line-removals")
     names = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("doc"))
     size = gone.agg(F.count("*").alias("n"), F.sum(F.size("dropped")).alias("lines")).first()
@@ -162,5 +175,5 @@ def dedup_lines(docs: DataFrame, percent: int = 80, counts: tuple[str, str] | No
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    kept = dedup_lines(docs, counts=("n_lines", "n_kept"))
+    kept = dedup_lines(docs, counts=("n_lines", "n_kept"), cut=every_shingle)
     return kept.select(F.col("doc_id").cast("long").alias("doc_id"), "n_lines", "n_kept", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))

@@ -116,6 +116,29 @@ def test_line_dedup_against_brute_force(spark):
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_lines_by_every_shingle(spark, tmp_path):
+    rnd = random.Random(7)
+    pool = [words(rnd, rnd.randint(1, 40)) for _ in range(60)]
+    pool += [p[: len(p) // 2] + "x" + p[len(p) // 2 + 1 :] for p in pool[:50]] + ["abc", "abd", "漢字😀" * 20, "漢字😀" * 19 + "x"]
+    lines = [p for p in pool for _ in range(2)]
+    rnd.shuffle(lines)
+    rows = [(i, "\n".join(lines[i * 4 : i * 4 + 4])) for i in range(len(lines) // 4)]
+    sets = {p: {p[k : k + 5] for k in range(max(1, len(p) - 4))} for p in pool}
+    of = groups_of(sets, lambda a, b: 100 * len(a & b) >= 80 * len(a | b))
+    assert sum(of[p] != p for p in pool) >= 30
+    seen, want = set(), {}
+    for i, t in rows:
+        kept = []
+        for line in t.split("\n"):
+            if of[line] not in seen:
+                kept.append(line)
+            seen.add(of[line])
+        want[i] = "\n".join(kept)
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["text_sha256"] for r in line_dedup.op3_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in want.items()}
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
