@@ -89,28 +89,40 @@ def smoothness(frames: DataFrame, fps: float = 50.0) -> DataFrame:
     return frames.select("episode_index", "frame_index", "state").groupBy("episode_index").applyInPandas(run, "episode_index long, sparc double")
 
 
-def autocorrelation(frames: DataFrame, max_lag: int = 50) -> DataFrame:
+def autocorrelation(frames: DataFrame, max_lag: int = 50, min_lag: int = 1) -> DataFrame:
     """Correlation of an action with the one ``lag`` frames later in its episode, over all dimensions, by lag.
 
-    A helper emits one row of sums per episode and lag; lags are bounded.
+    Frames meet by an equi-join on (episode, frame + lag); a pair is summed over its dimensions first.
     """
-
-    def sums(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(pdf.sort_values("frame_index")["action"].to_list())
-        rows = []
-        for lag in range(1, min(max_lag, len(x) - 1) + 1):
-            a, b = x[:-lag].ravel(), x[lag:].ravel()
-            rows.append((lag, len(a), a.sum(), b.sum(), (a * a).sum(), (b * b).sum(), (a * b).sum()))
-        return pd.DataFrame(rows, columns=["lag", "n", "a", "b", "aa", "bb", "ab"])
-
-    each = frames.where("action is not null").select("episode_index", "frame_index", "action").groupBy("episode_index").applyInPandas(sums, "lag long, n long, a double, b double, aa double, bb double, ab double")
+    known = frames.where("action is not null")
+    lags = F.explode(F.sequence(F.lit(min_lag).cast("long"), F.lit(max_lag).cast("long")))
+    early = known.select("episode_index", F.col("frame_index").cast("long").alias("at"), F.col("action").alias("x")).select("episode_index", "at", "x", lags.alias("lag")).withColumn("meets", F.col("at") + F.col("lag"))
+    late = known.select("episode_index", F.col("frame_index").cast("long").alias("meets"), F.col("action").alias("y"))
+    total = lambda v: F.aggregate(v, F.lit(0.0), lambda t, e: t + e)
+    times = lambda u, v: F.zip_with(u, v, lambda x, y: x * y)
+    each = early.join(late, ["episode_index", "meets"]).select(
+        "lag", F.size("x").cast("long").alias("n"), total(F.col("x")).alias("a"), total(F.col("y")).alias("b"), total(times("x", "x")).alias("aa"), total(times("y", "y")).alias("bb"), total(times("x", "y")).alias("ab")
+    )
     t = each.groupBy("lag").agg(*[F.sum(c).alias(c) for c in ("n", "a", "b", "aa", "bb", "ab")])
     top = F.col("n") * F.col("ab") - F.col("a") * F.col("b")
     bottom = F.sqrt(F.col("n") * F.col("aa") - F.col("a") * F.col("a")) * F.sqrt(F.col("n") * F.col("bb") - F.col("b") * F.col("b"))
-    return t.select("lag", F.col("n").alias("pairs"), (top / bottom).alias("correlation"))
+    return t.select("lag", F.col("n").alias("pairs"), F.when(bottom > 0, top / bottom).alias("correlation"))
 
 
 def chunk_length(correlations: DataFrame, fps: float = 50.0, below: float = 0.5) -> DataFrame:
     """The first lag whose correlation is below a level, in steps and seconds; null if there is none."""
     first = correlations.where(F.col("correlation") < below).agg(F.min("lag").alias("steps"))
     return first.select("steps", (F.col("steps") / fps).alias("seconds"))
+
+
+def first_chunk_length(frames: DataFrame, fps: float = 50.0, below: float = 0.5, block: int = 20) -> DataFrame:
+    """:func:`chunk_length` over all lags: blocks of lags follow, each twice as long, until one holds it or the longest episode ends."""
+    spans = frames.where("action is not null").groupBy("episode_index").agg((F.max("frame_index") - F.min("frame_index")).alias("span"))
+    longest = spans.agg(F.max("span")).first()[0] or 0
+    low = 1
+    while True:
+        high = low + block - 1
+        found = chunk_length(autocorrelation(frames, high, low), fps, below).first()
+        if found["steps"] is not None or high >= longest:
+            return frames.sparkSession.createDataFrame([tuple(found)], "steps long, seconds double")
+        low, block = high + 1, block * 2

@@ -307,7 +307,7 @@ def d10_autocorrelation(spark, sf_dir):
 
 @query(sql.with_(FR, sql.values(), f"corrs AS ({_CORR})") + f"SELECT min(lag) AS steps, {r('min(lag)/50.0::DOUBLE')} AS seconds FROM corrs WHERE c < 0.5")
 def d11_chunk_length(spark, sf_dir):
-    return metrics.chunk_length(metrics.autocorrelation(event_frames(spark, sf_dir), 20)).select("steps", _r("seconds").alias("seconds"))
+    return metrics.first_chunk_length(event_frames(spark, sf_dir)).select("steps", _r("seconds").alias("seconds"))
 
 
 _ABS = "list_sum(list_transform(action, lambda x: abs(x)))"

@@ -167,3 +167,12 @@ def test_output_schema_and_files(spark, tmp_path):
     (tmp_path / "raw" / "3_13_top.raw").write_bytes(b"short")
     one = datasets.read_loose_images(spark, str(tmp_path / "raw"), 2, 2).collect()
     assert [(r["episode_index"], r["frame_index"], r["camera"], bytes(r["pixels"])) for r in one] == [(3, 12, "top", bytes(range(12)))]
+
+
+def test_chunk_length_beyond_the_first_lags(spark):
+    x = [math.cos(2 * math.pi * k / 216) for k in range(2160)]
+    lag = next(k for k in range(1, 2160) if np.corrcoef(x[:-k], x[k:])[0, 1] < 0.5)
+    assert lag > 20
+    got = metrics.first_chunk_length(frames_of(spark, {1: [(v,) for v in x]})).first()
+    assert (got["steps"], got["seconds"]) == (lag, lag / 50)
+    assert metrics.first_chunk_length(frames_of(spark, {1: [(1.0,), (2.0,), (3.0,)]})).first()["steps"] is None
