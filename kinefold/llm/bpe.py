@@ -28,7 +28,6 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -355,7 +354,7 @@ class ChunkCoder:
         self.ends = self.words.ends
         self.library = LibraryIds(name, "<|endoftext|>")
         pattern = WORD_PATTERN + "|\n" if self.ends else BYTE_LEVEL_PATTERN
-        self.foreign_find, self.fold = regex.compile(pattern).findall, str.lower if self.ends else str
+        self.fold = str.lower if self.ends else str
         # below U+0250 the character classes are spelt out, for the faster standard module
         for name in "LN":
             members = "".join(re.escape(chr(c)) for c in range(0x250) if unicodedata.category(chr(c))[0] == name)
@@ -368,7 +367,8 @@ class ChunkCoder:
         """Ids of all chunks one after the other, and where each chunk's ids end.
 
         Chunks are cut into words in one call, with a line end between them, which is a word of its own
-        there.  Chunks with line ends or outer white space are cut one by one, foreign ones go to the library.
+        there.  Chunks with line ends or outer white space are cut one by one and encoded together, foreign ones go
+        to the library.
         """
         flat = "\n".join(chunks)
         if not _FOREIGN(flat) and flat.count("\n") == len(chunks) - 1 and not _OUTER_SPACE(f"\n{flat}\n"):
@@ -379,9 +379,13 @@ class ChunkCoder:
             ids, ends = self._plain("\n".join([chunks[k] for k in plain]))
             for k, a, b in zip(plain, [0, *ends], ends, strict=False):
                 out[k] = ids[a:b]
-        for k in (k for k, x in enumerate(kind) if x == 1):
-            words = self.foreign_find(self.fold(chunks[k]))
-            out[k] = self._spoken([w for w in words if not self.ends or w != "\n"])[0]
+        if odd := [k for k, x in enumerate(kind) if x == 1]:
+            words = [[w for w in self.find(self.fold(chunks[k])) if not self.ends or w != "\n"] for k in odd]
+            ids, stops = self._spoken([w for ws in words for w in ws])
+            at = 0
+            for k, ws in zip(odd, words, strict=True):
+                out[k] = ids[stops[at] : stops[at + len(ws)]]
+                at += len(ws)
         if foreign := [k for k, x in enumerate(kind) if x == 2]:
             for k, got in zip(foreign, self.library([chunks[k] for k in foreign]), strict=True):
                 out[k] = got

@@ -80,9 +80,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def free_name(df: DataFrame, wanted: str) -> str:
-    """A column name based on ``wanted`` that ``df`` doesn't have in any case variant."""
-    taken = {c.lower() for c in df.columns}
-    while wanted.lower() in taken:
-        wanted = f"_{wanted}"
-    return wanted
+def free_names(taken: list[str], wanted: list[str]) -> list[str]:
+    """The wanted column names, with underscores in front where a column has the name in any case variant."""
+    held, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name.lower() in held:
+            name = f"_{name}"
+        held.add(name.lower())
+        out.append(name)
+    return out

@@ -153,3 +153,27 @@ def test_edited_counts(spark):
     assert got[3]["n_tokens_after"] == count("tail end")
     with pytest.raises(ValueError):
         token_counts.edited(["abc"], token_counts.tree(np.array([[1, 3]], np.int32)), [(0, 2, ""), (1, 1, "")], len)
+
+
+def test_counts_query(spark, tmp_path):
+    lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    count = lambda t: len(lib.encode(t, add_special_tokens=False).ids)
+    texts = [*TEXTS, *_noise(9), "line\n" * 400, " \n x\ty " * 300, "one\n\ntwo", "x" * 30000]
+    rows = [(k, t, "en" if k % 3 else None, "web" if k % 2 else None) for k, t in enumerate(texts)] + [(1, texts[1], "en", "web"), (None, "no id", "en", "web")]
+    schema = "doc_id long, text string, lang string, source string"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted((tuple(r) for r in token_counts.op9_token_counts(spark, str(tmp_path)).collect()), key=str)
+    want = []
+    for i, t, lang, source in rows:
+        t = t or ""
+        half, cut = len(t) // 2, min(24, len(t) - len(t) // 2)
+        new = f"{source or '?'}:\n" + t[:half] + " [cut] " + t[half + cut :] + f" #{lang or '?'}"
+        want.append((i, count(t), 3, count(new), len(new)))
+    assert [x[:5] for x in got] == sorted(want, key=str)
+    assert all(e <= n for *_, n, e in got)
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert token_counts.op9_token_counts(spark, str(tmp_path / "none")).count() == 0
+    clash = spark.createDataFrame([(1, "a b", 7, "s", [(0, 0, "x")])], "doc_id long, text string, N_TOKENS int, token_tree string, edits array<struct<start:long,removed:long,inserted:string>>")
+    built = token_counts.build(clash)
+    assert built.columns[-1] == "_token_tree"
+    assert token_counts.edit(built, "edits", state="_token_tree").first().asDict()["_n_tokens"] == count("a b")
