@@ -23,12 +23,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    It is ``spark.checkpoint.dir`` of the session.  Where that is unset (tests,
-    local mode) one temporary folder is made for the application.
+    It is ``spark.checkpoint.dir`` of the session.  Where that is unset in local mode
+    (tests) one temporary folder is made for the application; on a cluster, whose
+    executors wouldn't see it, an error is raised.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dir:
         _own_dir[app] = "file://" + tempfile.mkdtemp(prefix="spark-")
@@ -58,6 +61,21 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+class Scratch:
+    """Published tables that are deleted together once nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def publish(self, df: DataFrame, label: str) -> DataFrame:
+        self.paths.append(new_path(self.spark, label))
+        return publish(df, label, self.paths[-1])
+
+    def remove(self) -> None:
+        while self.paths:
+            remove(self.spark, self.paths.pop())
+
+
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose texts take about ``limit`` bytes; a longer text stands alone."""
     sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

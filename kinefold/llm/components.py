@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import new_path, publish, remove
+from .common import Scratch, new_path, publish, remove
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -28,10 +28,11 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return linked.where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(own).distinct()
 
 
-def components(edges: DataFrame, label: str = "components") -> DataFrame:
+def components(edges: DataFrame, label: str = "components", kept: Scratch | None = None) -> DataFrame:
     """Rows (node, component) for all nodes with an edge; the component is its smallest node.
 
     ``edges`` has the columns a and b of one ordered type; null ends, loops and repeats count for nothing.
+    The table that the result reads is left to ``kept``, if given, to be deleted.
     """
     spark = edges.sparkSession
     now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -44,6 +45,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         if last:
             remove(spark, last)
         if (state["n"], state["s"]) == before or not state["n"]:
+            if kept:
+                kept.paths.append(path)
             break
         before = (state["n"], state["s"])
         now = _star(_star(now, True), False)

@@ -1,62 +1,82 @@
 """Fuzzy line dedup by MinHash, in DataFrame functions only (operator 3).
 
-Lines are compared as lower-cased, trimmed text.  The query and the pipeline take
-all ``CHARACTERS`` characters in a row as a line's shingles, or the whole line if
-it is shorter (:func:`every_shingle`).  The default of :func:`dedup_lines` is a
-sparser choice, which loses near copies of short lines: the
-``SHINGLE`` characters from each anchor on, where the line's start follows its end
-after a line feed, so that no shingle is short and common; anchors are the starts
-of words and, in long words or scripts without spaces, every ``STRIDE``-th
-character of a run.  The similarity is the Jaccard index of the two sets of
-distinct shingles.
-
-1. One map over the documents gives, for each line that isn't blank, a 64-bit key
-   of the line.  Equal lines are grouped, and each distinct line gets ``BANDS *
-   ROWS`` minima.  Later steps read these two tables; texts are read again only for
-   lines that need verification and for the result.
-2. In each bucket the smallest key meets all others; lines of buckets that then
-   still hold several components meet across components if at least
-   ``LEAST_AGREEMENT`` of their minima agree.  So a group of similar lines costs as
-   many pairs as lines, and unlike lines that share a bucket cost none.  Every pair
-   is verified on its whole shingle sets.
-3. A distributed union-find gives components; of each, the occurrence with the
+Lines are compared as lower-cased, trimmed text.  Signatures are made of all runs of
+``CHARACTERS`` characters of a line, or the whole line if it is shorter.  The query
+and the pipeline also verify on these (:func:`every_shingle`); the default of
+:func:`dedup_lines` verifies on a sparser choice, which loses near copies of short
+lines: the ``SHINGLE`` characters from each anchor on, where the line's start
+follows its end after a line feed; anchors are the starts of words and, in long
+words or scripts without spaces, every ``STRIDE``-th character of a run.  The
+similarity is the Jaccard index of the two sets of distinct shingles.
+
+1. Equal lines are grouped by a 64-bit key.  Each distinct line's shingles are dealt
+   by their hash to ``PARTS`` parts, each with ``MINIMA`` minima.  Bands of minima of a part
+   are the line's buckets; the minima's low bits are its sketch.  Only buckets and
+   sketches are stored, no minima and no texts.
+2. Lines that share a bucket with others meet its smallest key.  Pairs whose
+   sketches are too far apart are dropped; of the others each line first has
+   one pair verified on the whole shingle sets, and after a union-find those
+   pairs that still lie in different components.
+3. Buckets that then hold several components are cut: lines meet across components
+   where their sketches are near, and are verified.  Buckets with many open lines are
+   replaced by deeper ones of the same miss probability first.
+4. A distributed union-find gives components; of each, the occurrence with the
    smallest (doc_id, line number) stays and all others are removed.
 
-At a similarity of 0.8 all bands miss a pair with probability
-(1 - 0.8**2)**8 = 3e-4, and more similar pairs more rarely.
+Bands get longer as the corpus grows, so that unlike lines seldom share one, and
+more numerous, so that a pair of similarity 0.8 is missed by all with a probability
+of at most ``MISS``, a more similar one more rarely (at 0.85 3e-3, at 0.9 1e-4).  Lines of up to ``TINY``
+characters also have buckets of two whole parts each, those under ``SHORT`` no others.
 
 Blank lines are neither compared nor removed.  A document keeps its row even if
 no line is left.  Null text stays null.  A null doc_id sorts first.  Rows that
-repeat a doc_id share the decisions for lines of equal number and text.  An
-empty table gives an empty table.  All columns are carried through.
+repeat doc_id and text are one document and keep the same lines; rows that repeat a
+doc_id with another text are documents of their own.  An empty table gives an
+empty table.  All columns are carried through, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import publish, table
+from .common import Scratch, publish, table
 from .components import components
 
 CHARACTERS = 5
 SHINGLE, STRIDE = 12, 8
-BANDS, ROWS = 8, 2
-#: Of 16 minima, two lines of similarity 0.8 agree in fewer than 7 with probability 2e-4.
-LEAST_AGREEMENT = 7
-#: Rows sent to all tasks at once at most; beyond it a shuffled join does the same.
-BROADCAST_ROWS = 1_000_000
-BLANK = r" \t\r\f\x0B"
-ANCHORED = rf"(?s)(?=(.{{{SHINGLE}}}))[^{BLANK}\n]{{1,{STRIDE}}}"
+PARTS, MINIMA = 4, 16
+#: Rows of a band at least, and by how many characters of text per further row.
+LEAST_ROWS, GROWTH, CHARACTERS_A_LINE = 6, 16, 256
+#: Probability that all bands miss a pair of similarity 0.8, and the similarity that deeper buckets tell from it.
+MISS, TEMPLATE = 0.03, 0.6
+TINY, SHORT = 15, 12
+#: Bits in which the sketches of similar lines differ at most: 6.4 are expected at 0.8, 30 of unlike lines.
+FAR_BITS, UNSKETCHED = 22, 24
+#: Open lines of a bucket from which on it is replaced by deeper ones.
+HOT = 400
+#: Rows of two or three numbers sent to all tasks at once at most, under 30 MB; beyond it a shuffled join does the same.
+BROADCAST_ROWS = 400_000
+BLANK = " \t\r\f\x0b"
+ANCHORED = rf"(?s)(?=(.{{{SHINGLE}}}))[^ \t\r\f\x0B\n]{{1,{STRIDE}}}"
 FIRST = -(1 << 63)
-SALTS = [random.Random(f"line {k}").getrandbits(64) - (1 << 63) for k in range(BANDS * ROWS)]
 
 
-def normal(line: Column) -> Column:
-    return F.lower(F.trim(line, F.lit(" \t\r\f\x0b")))
+def _salt(k: int) -> int:
+    """Salts differ in their highest bits, so each leads to another region of the hashes first."""
+    return ((k % MINIMA) << 60 | random.Random(f"line {k}").getrandbits(60)) - (1 << 63)
+
+
+def _normal(lowered: Column) -> Column:
+    plain = F.trim(lowered)
+    edged = F.lit(False)
+    for c in BLANK[1:]:
+        edged = edged | plain.startswith(c) | plain.endswith(c)
+    return F.when(edged, F.trim(lowered, F.lit(BLANK))).otherwise(plain)
 
 
 def every_shingle(line: Column) -> Column:
@@ -71,104 +91,183 @@ def shingles(line: Column) -> Column:
     return F.regexp_extract_all(round_, F.lit(ANCHORED), F.lit(1))
 
 
-def _minimum(salt: int) -> Column:
-    """The smallest hash, to 32 bits, in the order that flipping the salt's bits gives; any hash is as likely to come first."""
-    return F.min(F.shiftright(F.col("h").bitwiseXOR(F.lit(salt)), 32).cast("int"))
+def _identity(doc_id: Column, text: Column) -> list[Column]:
+    return [F.coalesce(doc_id.cast("long"), F.lit(FIRST)).alias("doc"), F.xxhash64(text).alias("body")]
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(doc, pos, line) of all lines that aren't blank; line is normal."""
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("doc")
-    lines = docs.select(doc, F.posexplode(F.split("text", "\n", -1)).alias("pos", "raw"))
-    return lines.select("doc", "pos", normal(F.col("raw")).alias("line")).where("line <> ''")
+    """(doc, body, pos, line) of all lines that aren't blank; line is normal."""
+    lines = docs.select(*_identity(F.col("doc_id"), F.col("text")), F.posexplode(F.split(F.lower("text"), "\n", -1)).alias("pos", "raw"))
+    return lines.select("doc", "body", "pos", _normal(F.col("raw")).alias("line")).where("line <> ''")
 
 
 def _key(line: Column) -> Column:
     return F.xxhash64(line, F.length(line)).alias("key")
 
 
-def described(docs: DataFrame, cut: Callable[[Column], Column] = shingles) -> DataFrame:
-    """(key, m) of all distinct lines that aren't blank; m holds 32 bits of each minimum."""
-    lines = occurrences(docs).select(_key(F.col("line")), "line").groupBy("key").agg(F.first("line").alias("line"))
-    hashed = lines.select("key", F.explode(cut(F.col("line"))).alias("s")).select("key", F.xxhash64("s").alias("h"))
-    # lines are dealt by key already, so minima need no further shuffle
-    minima = hashed.groupBy("key").agg(*[_minimum(salt).alias(f"m{k}") for k, salt in enumerate(SALTS)])
-    return minima.select("key", F.array(*[f"m{k}" for k in range(len(SALTS))]).alias("m"))
+def shape(rows: int) -> int:
+    """The number of bands of so many rows."""
+    bands = math.log(MISS) / math.log(1 - 0.8**rows)
+    return math.ceil(bands / PARTS) * PARTS
+
+
+def depth(docs: DataFrame) -> int:
+    """Rows of a band for a corpus of this size."""
+    size = docs.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
+    return max(LEAST_ROWS, math.ceil(math.log(max(1, size / CHARACTERS_A_LINE), GROWTH)))
 
 
-def _buckets(m: Column) -> Column:
-    return F.explode(F.array(*[F.xxhash64(F.lit(b), *[m[b * ROWS + r] for r in range(ROWS)]) for b in range(BANDS)])).alias("bucket")
+def signed(lines: DataFrame, rows: int, tiny: bool = True) -> DataFrame:
+    """(key, n, len, sketch, buckets) of all distinct lines of (line, n), which are dealt by key."""
+    coded = lines.select(_key(F.col("line")), "n", F.length("line").alias("len"), F.encode("line", "UTF-16BE").alias("units"))
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor(F.length("units") / 2).cast("int") - CHARACTERS))
+    units = coded.select("key", "n", "len", "units", F.explode(starts).alias("i"))
+    hashed = units.select("key", "n", "len", F.xxhash64(F.substring("units", F.col("i") * 2 + 1, F.lit(2 * CHARACTERS))).alias("h"))
+    dealt = hashed.select("key", "n", "len", F.col("h").bitwiseAND(PARTS - 1).cast("int").alias("part"), "h")
+    # a line's shingles are in one partition already, so neither step shuffles
+    minima = dealt.groupBy("key", "n", "len", "part").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(_salt(k)))).alias(f"m{k}") for k in range(MINIMA)])
+    bands = shape(rows) // PARTS
+    m = [F.col(f"m{k}") for k in range(MINIMA)]
+    band = lambda b: F.xxhash64(F.lit(b), "part", *[m[(b * MINIMA // bands + r * (1 + b // MINIMA)) % MINIMA] for r in range(min(rows, MINIMA))])
+    bits = sum((F.shiftleft(F.shiftright(m[k], 8).bitwiseAND(1), k) for k in range(1, MINIMA)), F.shiftright(m[0], 8).bitwiseAND(1))
+    told = minima.select("key", "n", "len", "part", F.expr("part * 16").alias("by"), bits.alias("bits"), F.xxhash64(*m).alias("whole"), *[band(b).alias(f"b{b}") for b in range(bands)])
+    of = lambda p, name: F.max(F.when(F.col("part") == p, F.col(name)))
+    columns = [of(p, f"b{b}").alias(f"b{p}_{b}") for p in range(PARTS) for b in range(bands)] + [of(p, "whole").alias(f"w{p}") for p in range(PARTS)]
+    each = told.groupBy("key", "n", "len").agg(F.bit_or(F.expr("shiftleft(bits, by)")).alias("sketch"), *columns)
+    long_ = [F.when(F.col("len") >= (SHORT if tiny else 0), F.col(f"b{p}_{b}")) for p in range(PARTS) for b in range(bands)]
+    whole = [F.col(f"w{p}") for p in range(PARTS)]
+    pairs = [(p, q) for p in range(PARTS) for q in range(p + 1, PARTS)] if tiny else []
+    short = [F.when((F.col("len") <= TINY) & (whole[p].isNotNull() | whole[q].isNotNull()), F.xxhash64(F.lit(f"{p} {q}"), whole[p], whole[q])) for p, q in pairs]
+    return each.select("key", "n", "len", "sketch", F.array_compact(F.array(*long_, *short)).alias("buckets"))
+
+
+def _distinct(lines: DataFrame) -> DataFrame:
+    return lines.groupBy(_key(F.col("line"))).agg(F.first("line").alias("line"), F.count("*").alias("n"))
 
 
 def _small(df: DataFrame, count: int) -> DataFrame:
     return F.broadcast(df) if count <= BROADCAST_ROWS else df.hint("shuffle_hash")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, percent: int, cut: Callable[[Column], Column]) -> DataFrame:
+def _near(left: Column, right: Column, length: Column) -> Column:
+    return (length <= UNSKETCHED) | (F.bit_count(left.bitwiseXOR(right)) <= FAR_BITS)
+
+
+def _verified(texts: DataFrame, pairs: DataFrame, percent: int, cut: Callable[[Column], Column]) -> DataFrame:
     """Pairs of keys whose whole shingle sets have 100 * intersection >= percent * union."""
-    keys = publish(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "line-keys")
-    lines = occurrences(docs).select(_key(F.col("line")), "line").join(_small(keys, keys.count()), "key", "left_semi")
-    sets = publish(lines.dropDuplicates(["key"]).select("key", F.array_distinct(F.transform(cut(F.col("line")), lambda x: F.xxhash64(x))).alias("shingles")), "line-sets")
-    both = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b")
+    sets = lambda n: texts.select(F.col("key").alias(n), F.col("line").alias(f"line_{n}"))
+    hashes = lambda n: F.array_distinct(F.transform(cut(F.col(f"line_{n}")), lambda x: F.xxhash64(x))).alias(f"s{n}")
+    both = pairs.join(sets("a"), "a").join(sets("b"), "b").select("a", "b", hashes("a"), hashes("b"))
     common = F.size(F.array_intersect("sa", "sb"))
-    return both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+    return both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), common.alias("common")).where(F.expr(f"100 * common >= {percent} * (na + nb - common)")).select("a", "b")
+
+
+def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, line) of some keys."""
+    lines = occurrences(docs).select(_key(F.col("line")), "line").join(_small(keys, keys.count()), "key", "left_semi")
+    return lines.groupBy("key").agg(F.first("line").alias("line"))
+
+
+def _shared(told: DataFrame, kept: Scratch, label: str) -> DataFrame:
+    """(bucket, b, sketch, len, a, hub): the lines of buckets with several, and the smallest key there with its sketch."""
+    bands = told.select(F.col("key").alias("b"), "sketch", "len", F.explode("buckets").alias("bucket"))
+    least = bands.groupBy("bucket").agg(F.min("b").alias("a"), F.count("*").alias("size")).where("size > 1").select("bucket", "a")
+    hubs = kept.publish(least.join(told.select(F.col("key").alias("a"), F.col("sketch").alias("hub")), "a"), f"{label}-hubs")
+    return kept.publish(bands.join(_small(hubs, hubs.count()), "bucket"), f"{label}-shared")
+
+
+def _open(shared: DataFrame, known: DataFrame) -> DataFrame:
+    """(bucket, node, sketch, len, component, open): lines of buckets with several components, and their number there."""
+    rows = shared.select("bucket", F.col("b").alias("node"), "sketch", "len").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("open")).where("low <> high").select("bucket", "open")
+    return rows.join(mixed, "bucket")
 
 
-def links(docs: DataFrame, told: DataFrame, percent: int, cut: Callable[[Column], Column]) -> DataFrame:
+def links(docs: DataFrame, told: DataFrame, percent: int, cut: Callable[[Column], Column], rows: int, kept: Scratch) -> DataFrame:
     """(node, component) of all keys that are linked with another key."""
-    bands = told.select("key", _buckets(F.col("m")))
-    hubs = publish(bands.groupBy("bucket").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a <> z").select("bucket", "a"), "line-buckets")
-    shared = publish(bands.join(_small(hubs, hubs.count()), "bucket").groupBy("bucket", F.col("key").alias("b")).agg(F.min("a").alias("a")), "line-shared")
-    near = publish(shared.where("a <> b").select("a", "b").distinct(), "line-pairs")
-    first = publish(_verified(docs, near, percent, cut), "line-links")
-    known = publish(components(first, "line-components"), "line-known")
-    rows = shared.select("bucket", F.col("b").alias("node")).join(known, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    mixed = publish(rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket"), "line-mixed")
-    # cross-component pairs meet only if enough of their minima agree, which the join itself tests
-    open_ = publish(rows.join(mixed, "bucket"), "line-open")
-    nodes = publish(open_.select(F.col("node").alias("key")).distinct(), "line-nodes")
-    minima = publish(told.select("key", "m").join(_small(nodes, nodes.count()), "key", "left_semi").dropDuplicates(["key"]).select(F.col("key").alias("node"), "m"), "line-minima")
-    full = publish(open_.join(minima, "node"), "line-full")
-    left, right = (full.select("bucket", F.col("node").alias(n), F.col("component").alias(f"c{n}"), F.col("m").alias(f"m{n}")) for n in ("a", "b"))
-    agree = sum(((F.col("ma")[k] == F.col("mb")[k]).cast("int") for k in range(1, BANDS * ROWS)), (F.col("ma")[0] == F.col("mb")[0]).cast("int"))
+    shared = _shared(told, kept, "line")
+    met = shared.where(F.col("a") != F.col("b")).where(_near(F.col("sketch"), F.col("hub"), F.col("len")))
+    near = kept.publish(met.select("a", "b").distinct(), "line-near")
+    texts = kept.publish(_texts(docs, kept.publish(near.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "line-keys")), "line-texts")
+    first = kept.publish(_verified(texts, near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), percent, cut), "line-links")
+    apart = _apart(near, components(first, "line-components", kept)).join(near.groupBy("b").agg(F.min("a").alias("a")), ["a", "b"], "left_anti")
+    found = first.unionByName(kept.publish(_verified(texts, apart, percent, cut), "line-links"))
+    known = components(found, "line-components", kept)
+    return components(found.unionByName(_rest(docs, shared, known, near, percent, cut, rows, kept)), "line-components", kept)
+
+
+def _apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs whose ends lie in different components."""
+    of = lambda n: known.select(F.col("node").alias(n), F.col("component").alias(f"c{n}"))
+    both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+
+
+def _rest(docs: DataFrame, shared: DataFrame, known: DataFrame, near: DataFrame, percent: int, cut: Callable[[Column], Column], rows: int, kept: Scratch) -> DataFrame:
+    """Links across components of one bucket that go through other lines than its smallest."""
+    open_ = kept.publish(_open(shared, known), "line-open")
+    most = open_.agg(F.max("open").alias("n")).first()["n"] or 0
+    meeting = open_.where(F.col("open") <= HOT)
+    if most > HOT:
+        # lines of hot buckets are signed again, so deeply that lines under TEMPLATE seldom meet
+        deep = rows + math.ceil(math.log(most / HOT) / -math.log(TEMPLATE))
+        hot = kept.publish(open_.where(F.col("open") > HOT).select(F.col("node").alias("key")).distinct(), "line-hot")
+        again = signed(_texts(docs, hot).select("key", "line", F.lit(1).alias("n")), deep, tiny=False)
+        deeper = _shared(kept.publish(again, "line-deep"), kept, "line-deep")
+        meeting = meeting.unionByName(_open(deeper, known))
+    meeting = kept.publish(meeting.select("bucket", "node", "sketch", "len", "component"), "line-meeting")
+    left, right = (meeting.select("bucket", F.col("node").alias(n), F.col("component").alias(f"c{n}"), F.col("sketch").alias(f"s{n}"), F.col("len").alias(f"l{n}")) for n in ("a", "b"))
     l, r = left.alias("l"), right.alias("r")
-    meet = (F.col("l.bucket") == F.col("r.bucket")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (agree >= LEAST_AGREEMENT)
-    rest = l.join(r, meet).select("a", "b").distinct().join(near, ["a", "b"], "left_anti")
-    second = publish(_verified(docs, publish(rest, "line-rest"), percent, cut), "line-links")
-    return components(first.unionByName(second), "line-components")
+    meet = (F.col("l.bucket") == F.col("r.bucket")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _near(F.col("sa"), F.col("sb"), F.greatest("la", "lb"))
+    pairs = kept.publish(l.join(r, meet).select("a", "b").distinct().join(near, ["a", "b"], "left_anti"), "line-rest")
+    texts = kept.publish(_texts(docs, kept.publish(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "line-keys")), "line-texts")
+    return kept.publish(_verified(texts, pairs, percent, cut), "line-links")
 
 
 def removals(docs: DataFrame, percent: int = 80, cut: Callable[[Column], Column] = shingles) -> DataFrame:
-    """(doc, dropped): the numbers of the lines to remove, for each document that has any."""
-    told = publish(described(docs, cut), "line-table")
-    places = publish(occurrences(docs).select("doc", "pos", _key(F.col("line"))), "line-places")
-    place = (F.col("doc").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")).cast("decimal(38,0)")
-    owners = publish(places.groupBy("key").agg(F.min(place).alias("own"), F.count("*").alias("n")), "line-owners")
-    found = publish(links(docs, told, percent, cut).withColumnRenamed("node", "key"), "line-linked")
-    best = found.join(owners, "key").groupBy("component").agg(F.min("own").alias("best"))
-    linked = found.join(publish(best, "line-best"), "component").select("key", "best")
-    # keys with something to remove, and the one place that stays
-    loose = owners.where("n > 1").select("key", "own").join(linked, "key", "left_anti").select("key", F.col("own").alias("best"))
-    decided = publish(linked.unionByName(loose), "line-decided")
-    gone = places.select("key", "doc", "pos", place.alias("place")).join(_small(decided, decided.count()), "key").where("place <> best")
-    return gone.groupBy("doc").agg(F.array_sort(F.collect_set("pos")).alias("dropped"))
+    """(doc, body, dropped): the numbers of the lines to remove, for each document that has any."""
+    kept = Scratch(docs.sparkSession)
+    rows = depth(docs)
+    told = kept.publish(signed(_distinct(occurrences(docs)), rows), "line-table")
+    found = links(docs, told, percent, cut, rows, kept).withColumnRenamed("node", "key")
+    alone = told.where("n > 1").select("key").join(found, "key", "left_anti").select("key", F.col("key").alias("component"))
+    decided = kept.publish(found.select("key", "component").unionByName(alone), "line-decided")
+    # one number orders occurrences by document and line; a part of the text's hash tells texts of one doc_id apart
+    number = lambda c, bits: c.cast("decimal(20,0)") * F.lit(1 << bits).cast("decimal(19,0)")
+    place = (number(F.col("doc"), 62) + number(F.col("pos"), 31) + F.col("body").bitwiseAND((1 << 31) - 1)).cast("decimal(38,0)")
+    places = occurrences(docs).select(_key(F.col("line")), "doc", "body", "pos", place.alias("place"))
+    hits = kept.publish(places.join(_small(decided, decided.count()), "key").drop("key"), "line-hits")
+    best = kept.publish(hits.groupBy("component").agg(F.min("place").alias("best")), "line-best")
+    gone = hits.join(_small(best, best.count()), "component").where("place <> best")
+    out = publish(gone.groupBy("doc", "body").agg(F.array_sort(F.collect_set("pos")).alias("dropped")), "line-removals")
+    kept.remove()
+    return out
+
+
+def _without(text: Column, dropped: Column) -> Column:
+    """The text without the lines of these ascending numbers: the runs of lines between them, joined."""
+
+    def runs(lines: Column) -> Column:
+        begin = F.concat(F.array(F.lit(0)), F.transform(dropped, lambda x: x + 1))
+        end = F.concat(dropped, F.array(F.size(lines)))
+        return F.array_join(F.flatten(F.zip_with(begin, end, lambda a, b: F.slice(lines, a + 1, b - a))), "\n")
+
+    # the array of one makes the lines a variable, which is computed once
+    return F.element_at(F.transform(F.array(F.split(text, "\n", -1)), runs), 1)
 
 
 def dedup_lines(docs: DataFrame, percent: int = 80, counts: tuple[str, str] | None = None, cut: Callable[[Column], Column] = shingles) -> DataFrame:
     """Remove repeated lines from the column text; optionally add the numbers of lines before and after."""
-    gone = publish(removals(docs, percent, cut), "line-removals")
+    gone = removals(docs, percent, cut)
     names = docs.columns
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("doc"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), *_identity(F.col("doc_id"), F.col("text")))
     size = gone.agg(F.count("*").alias("n"), F.sum(F.size("dropped")).alias("lines")).first()
-    few = size["n"] <= BROADCAST_ROWS // 4 and (size["lines"] or 0) <= BROADCAST_ROWS
-    both = rows.join(F.broadcast(gone) if few else gone.hint("shuffle_hash"), "doc", "left")
-    lines = F.split(F.col("row.text"), "\n", -1)
-    left = F.filter(lines, lambda _, i: ~F.array_contains(F.col("dropped"), i))
-    text = F.when(F.col("dropped").isNull(), F.col("row.text")).otherwise(F.array_join(left, "\n"))
+    few = size["n"] <= BROADCAST_ROWS and (size["lines"] or 0) <= 4 * BROADCAST_ROWS
+    both = rows.join(F.broadcast(gone) if few else gone.hint("shuffle_hash"), ["doc", "body"], "left")
+    text = F.when(F.col("dropped").isNull(), F.col("row.text")).otherwise(_without(F.col("row.text"), F.col("dropped")))
     out = [(text if c == "text" else F.col("row").getField(c)).alias(c) for c in names]
     if counts:
-        blank = F.size(F.filter(lines, lambda x: normal(x) != ""))
-        n = F.when(F.col("row.text").isNull(), 0).otherwise(blank).cast("long")
+        n = F.coalesce(F.regexp_count(F.col("row.text"), F.lit(r"[^ \t\r\f\x0B\n][^\n]*+")), F.lit(0)).cast("long")
         out += [n.alias(counts[0]), (n - F.coalesce(F.size("dropped"), F.lit(0))).cast("long").alias(counts[1])]
     return both.select(*out)
 
