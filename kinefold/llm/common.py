@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -107,3 +108,35 @@ def free_names(taken: list[str], wanted: list[str]) -> list[str]:
         held.add(name.lower())
         out.append(name)
     return out
+
+
+def runs(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of runs of equal keys."""
+    change = np.zeros(len(keys[0]), bool)
+    change[:1] = True
+    for k in keys:
+        change[1:] |= k[1:] != k[:-1]
+    begin = np.flatnonzero(change)
+    return begin, np.append(begin[1:], len(keys[0]))
+
+
+def grouped(keys: list[str], each: Callable[[list[np.ndarray], pa.RecordBatch], Iterator[pa.RecordBatch]]):
+    """A mapInArrow function over sorted rows: ``each`` gets whole groups of rows with equal keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = pa.Table.from_batches([batch])
+            held = now if held is None or not held.num_rows else pa.concat_tables([held, now])
+            cols = [held.column(k).to_numpy() for k in keys]
+            begin, _ = runs(cols)
+            cut = int(begin[-1])
+            if cut:
+                yield from each([c[:cut] for c in cols], held.slice(0, cut).combine_chunks())
+                held = held.slice(cut)
+        if held is not None and held.num_rows:
+            yield from each([held.column(k).to_numpy() for k in keys], held.combine_chunks())
+
+    return run

@@ -17,9 +17,11 @@ similarity is the Jaccard index of the two sets of distinct shingles.
    sketches are too far apart are dropped; of the others each line first has
    one pair verified on the whole shingle sets, and after a union-find those
    pairs that still lie in different components.
-3. Buckets that then hold several components are cut: lines meet across components
-   where their sketches are near, and are verified.  Buckets with many open lines are
-   replaced by deeper ones of the same miss probability first.
+3. In buckets that then hold several components lines meet across these.  Each such
+   line whose sketch is near another's has a bitmap of its shingles' hashes, and the join itself leaves out pairs
+   whose bitmaps bound the similarity below the threshold, which loses none; the
+   others are verified.  Buckets with many open lines are replaced by deeper ones of
+   the same miss probability first.
 4. A distributed union-find gives components; of each, the occurrence with the
    smallest (doc_id, line number) stays and all others are removed.
 
@@ -61,6 +63,8 @@ FAR_BITS, UNSKETCHED = 22, 24
 HOT = 400
 #: Rows of two or three numbers sent to all tasks at once at most, under 30 MB; beyond it a shuffled join does the same.
 BROADCAST_ROWS = 400_000
+#: Words of 64 bits of a bitmap.
+WORDS = 64
 BLANK = " \t\r\f\x0b"
 ANCHORED = rf"(?s)(?=(.{{{SHINGLE}}}))[^ \t\r\f\x0B\n]{{1,{STRIDE}}}"
 FIRST = -(1 << 63)
@@ -216,12 +220,29 @@ def _rest(docs: DataFrame, shared: DataFrame, known: DataFrame, near: DataFrame,
         deeper = _shared(kept.publish(again, "line-deep"), kept, "line-deep")
         meeting = meeting.unionByName(_open(deeper, known))
     meeting = kept.publish(meeting.select("bucket", "node", "sketch", "len", "component"), "line-meeting")
-    left, right = (meeting.select("bucket", F.col("node").alias(n), F.col("component").alias(f"c{n}"), F.col("sketch").alias(f"s{n}"), F.col("len").alias(f"l{n}")) for n in ("a", "b"))
+    other = meeting.select("bucket", F.col("component").alias("c"), F.col("sketch").alias("s"), F.col("len").alias("l"))
+    meeting = meeting.alias("m").join(other.alias("o"), (F.col("m.bucket") == F.col("o.bucket")) & (F.col("component") != F.col("c")) & _near(F.col("sketch"), F.col("s"), F.greatest("len", "l")), "left_semi")
+    meeting = kept.publish(meeting.select("bucket", "node", "component"), "line-meeting")
+    texts = kept.publish(_texts(docs, kept.publish(meeting.select(F.col("node").alias("key")).distinct(), "line-keys")), "line-texts")
+    rows_ = kept.publish(meeting.join(_bitmaps(texts, cut).withColumnRenamed("key", "node"), "node"), "line-bitmaps")
+    left, right = (rows_.select("bucket", *[F.col(c).alias(f"{c}_{n}") for c in rows_.columns if c != "bucket"]) for n in ("a", "b"))
     l, r = left.alias("l"), right.alias("r")
-    meet = (F.col("l.bucket") == F.col("r.bucket")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _near(F.col("sa"), F.col("sb"), F.greatest("la", "lb"))
-    pairs = kept.publish(l.join(r, meet).select("a", "b").distinct().join(near, ["a", "b"], "left_anti"), "line-rest")
-    texts = kept.publish(_texts(docs, kept.publish(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "line-keys")), "line-texts")
-    return kept.publish(_verified(texts, pairs, percent, cut), "line-links")
+    shared_bits = sum((F.bit_count(F.col(f"w{k}_a").bitwiseAND(F.col(f"w{k}_b"))) for k in range(1, WORDS)), F.bit_count(F.col("w0_a").bitwiseAND(F.col("w0_b"))))
+    # of a line's shingles at least so many are not the other's as its bits that the other lacks
+    common = F.least(F.col("n_a") - F.col("bits_a"), F.col("n_b") - F.col("bits_b")) + shared_bits
+    meet = (F.col("l.bucket") == F.col("r.bucket")) & (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & (common * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent)
+    pairs = l.join(r, meet).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(near, ["a", "b"], "left_anti")
+    return kept.publish(_verified(texts, kept.publish(pairs, "line-rest"), percent, cut), "line-links")
+
+
+def _bitmaps(texts: DataFrame, cut: Callable[[Column], Column]) -> DataFrame:
+    """(key, n, bits, w0, ...): a line's number of distinct shingles, and the bits that their hashes set."""
+    sets = texts.select("key", F.array_distinct(F.transform(cut(F.col("line")), lambda x: F.xxhash64(x))).alias("set"))
+    each = sets.select("key", F.size("set").alias("n"), F.explode("set").alias("h"))
+    bit = F.expr("shiftleft(1L, int(shiftright(h, 8) & 63))")
+    words = each.select("key", "n", F.col("h").bitwiseAND(WORDS - 1).cast("int").alias("word"), bit.alias("bit")).groupBy("key", "n", "word").agg(F.bit_or("bit").alias("bits"))
+    maps = words.groupBy("key", "n").agg(F.sum(F.bit_count("bits")).cast("int").alias("bits"), *[F.coalesce(F.max(F.when(F.col("word") == k, F.col("bits"))), F.lit(0)).cast("long").alias(f"w{k}") for k in range(WORDS)])
+    return maps
 
 
 def removals(docs: DataFrame, percent: int = 80, cut: Callable[[Column], Column] = shingles) -> DataFrame:

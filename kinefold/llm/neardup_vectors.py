@@ -34,7 +34,7 @@ from __future__ import annotations
 
 import logging
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +42,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import new_path, publish, remove, table
+from .common import grouped, new_path, publish, remove, runs, table
 from .components import components
 
 TABLES = 6
@@ -87,36 +87,6 @@ def classes(vectors: DataFrame) -> DataFrame:
     return found.select("id", "n", F.xxhash64("label", "dims").alias("space"), "dims", "unit")
 
 
-def _runs(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Begins and ends of runs of equal keys."""
-    change = np.zeros(len(keys[0]), bool)
-    change[:1] = True
-    for k in keys:
-        change[1:] |= k[1:] != k[:-1]
-    begin = np.flatnonzero(change)
-    return begin, np.append(begin[1:], len(keys[0]))
-
-
-def _grouped(keys: list[str], each: Callable[[list[np.ndarray], pa.RecordBatch], Iterator[pa.RecordBatch]]):
-    """A mapInArrow function over sorted rows: ``each`` gets whole groups of rows with equal keys."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-        for batch in batches:
-            now = pa.Table.from_batches([batch])
-            held = now if held is None or not held.num_rows else pa.concat_tables([held, now])
-            cols = [held.column(k).to_numpy() for k in keys]
-            begin, _ = _runs(cols)
-            cut = int(begin[-1])
-            if cut:
-                yield from each([c[:cut] for c in cols], held.slice(0, cut).combine_chunks())
-                held = held.slice(cut)
-        if held is not None and held.num_rows:
-            yield from each([held.column(k).to_numpy() for k in keys], held.combine_chunks())
-
-    return run
-
-
 def _connected(link: np.ndarray) -> np.ndarray:
     """For each row of a symmetric matrix of links, the smallest position that links lead to."""
     label = np.arange(len(link))
@@ -161,7 +131,7 @@ def seeds(nodes: DataFrame, count: int, attempt: int) -> DataFrame:
             now = pa.Table.from_batches([batch])
             now = now if held is None else pa.concat_tables([held, now])
             t, space, ids = (now.column(k).to_numpy() for k in ("t", "space", "id"))
-            for a, b in zip(*_runs([t, space]), strict=True):
+            for a, b in zip(*runs([t, space]), strict=True):
                 x, own = _vectors(now, a, b), ids[a:b]
                 for k in range(1, min(ADJACENT, b - a - 1) + 1):
                     sim = np.einsum("ij,ij->i", x[:-k], x[k:]).astype(np.float64)
@@ -209,7 +179,7 @@ def descend(nodes: DataFrame, graph: DataFrame, state: DataFrame, threshold: flo
     def each(keys: list[np.ndarray], held: pa.Table) -> Iterator[pa.RecordBatch]:
         ids, worst = held.column("id").to_numpy(), held.column("worst").to_numpy()
         out: list[tuple[np.ndarray, ...]] = []
-        for a, b in zip(*_runs(keys), strict=True):
+        for a, b in zip(*runs(keys), strict=True):
             if b - a < 2:
                 continue
             x = _vectors(held, a, b)
@@ -228,7 +198,7 @@ def descend(nodes: DataFrame, graph: DataFrame, state: DataFrame, threshold: flo
             first = np.unique(np.stack([u, v, kept], 1), axis=0, return_index=True)[1]
             yield pa.RecordBatch.from_arrays([pa.array(u[first]), pa.array(v[first]), pa.array(s[first]), pa.array(kept[first] > 0)], ["u", "v", "sim", "link"])
 
-    return rows.repartition("via").sortWithinPartitions("via", "id").mapInArrow(_grouped(["via"], each), "u long, v long, sim double, link boolean").where("u <> v")
+    return rows.repartition("via").sortWithinPartitions("via", "id").mapInArrow(grouped(["via"], each), "u long, v long, sim double, link boolean").where("u <> v")
 
 
 def _linking(graph: DataFrame, threshold: float) -> DataFrame:
@@ -280,7 +250,7 @@ def exact_links(nodes: DataFrame, candidates: DataFrame, threshold: float) -> Da
     def each(keys: list[np.ndarray], held: pa.Table) -> Iterator[pa.RecordBatch]:
         ids, n, block = (held.column(k).to_numpy() for k in ("id", "n", "block"))
         out = []
-        for a, b in zip(*_runs(keys), strict=True):
+        for a, b in zip(*runs(keys), strict=True):
             x, own, many = _vectors(held, a, b, np.float64), ids[a:b], n[a:b]
             link = x @ x.T >= threshold
             np.fill_diagonal(link, False)
@@ -292,7 +262,7 @@ def exact_links(nodes: DataFrame, candidates: DataFrame, threshold: float) -> Da
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(c.astype(np.int64))], ["a", "b", "links"])
 
     grouped = spread.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "id")
-    return grouped.mapInArrow(_grouped(["component", "i", "j"], each), "a long, b long, links long")
+    return grouped.mapInArrow(grouped(["component", "i", "j"], each), "a long, b long, links long")
 
 
 def audit(nodes: DataFrame, candidates: DataFrame, threshold: float, seed: int, count: int) -> tuple[float, int]:

@@ -69,6 +69,48 @@ def test_minhash_edges(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def family(rnd, members, size, edits):
+    """Copies of one text with random words replaced: many pairs just below and above the threshold."""
+    stem = words(rnd, size).split(" ")
+    out = []
+    for _ in range(members):
+        copy = list(stem)
+        for k in rnd.sample(range(size), rnd.randint(0, edits)):
+            copy[k] = words(rnd, 1)
+        out.append(" ".join(copy))
+    return out
+
+
+def shingle_sets(texts, n):
+    split = [t.lower().split(" ") if t else [] for t in texts]
+    return {i: {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} or ({tuple(w)} if w else set()) for i, w in enumerate(split)}
+
+
+@pytest.mark.parametrize("hot", [1024, 4])
+def test_minhash_query_on_a_family(spark, tmp_path, monkeypatch, hot):
+    monkeypatch.setattr(minhash, "HOT", hot)
+    rnd = random.Random(31)
+    texts = family(rnd, 150, 200, 14) + family(rnd, 60, 60, 4) + [words(rnd, 30) for _ in range(100)] + ["a b c d"] * 3 + [None, ""]
+    sets = shingle_sets(texts, 4)
+    want = groups_of(sets, lambda a, b: bool(a and b) and 100 * len(a & b) >= 80 * len(a | b))
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in minhash.op6_minhash_near_dedup(spark, str(tmp_path)).collect()}
+    assert len(set(want.values())) < len(want) - 60
+    assert {i: r["component_id"] for i, r in got.items()} == want
+    assert {i: r["n_shingles"] for i, r in got.items()} == {i: len(x) for i, x in sets.items()}
+
+
+def test_minhash_texts_of_one_id(spark):
+    rnd = random.Random(5)
+    x, y = words(rnd, 50), words(rnd, 60)
+    rows = [(4, x), (4, y), (9, y), (7, x), (-3, x + " end"), (4, x), (None, x)]
+    got = minhash.grouped_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r["doc_id"]), r["n_shingles"], r["component_id"], r["kept"], r["leads"]) for r in got) == sorted([
+        ("4", 46, -3, False, False), ("4", 56, 4, True, True), ("9", 56, 4, False, False), ("7", 46, -3, False, False),
+        ("-3", 47, -3, True, True), ("4", 46, -3, False, False), ("None", 46, None, True, True),
+    ])
+
+
 def test_bayes_keeps_what_is_similar():
     rnd = np.random.default_rng(1)
     a = rnd.integers(0, 1 << 32, (4000, 80), dtype=np.uint32)
@@ -139,6 +181,39 @@ def test_lines_by_every_shingle(spark, tmp_path):
     assert got == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in want.items()}
 
 
+@pytest.mark.parametrize("hot", [400, 4])
+def test_lines_of_a_family(spark, monkeypatch, hot):
+    monkeypatch.setattr(line_dedup, "HOT", hot)
+    rnd = random.Random(17)
+    pool = list(dict.fromkeys(family(rnd, 300, 60, 12) + family(rnd, 200, 12, 1) + family(rnd, 60, 3, 1) + [words(rnd, rnd.randint(1, 30)) for _ in range(800)]))
+    rows = [(i, "\n".join(rnd.choice(pool) for _ in range(5))) for i in range(400)]
+    lines = sorted({x for _, t in rows for x in t.split("\n")})
+    sets = dict(enumerate({x[k : k + 5] for k in range(max(1, len(x) - 4))} for x in lines))
+    close = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+    found = groups_of(sets, close)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = line_dedup.Scratch(spark)
+    rows_ = line_dedup.depth(docs)
+    told = line_dedup.publish(line_dedup.signed(line_dedup._distinct(line_dedup.occurrences(docs)), rows_), "test")
+    got = {r["node"]: r["component"] for r in line_dedup.links(docs, told, 80, line_dedup.every_shingle, rows_, kept).collect()}
+    keys = {r["line"]: r["key"] for r in line_dedup.occurrences(docs).select("line", line_dedup._key(line_dedup.F.col("line"))).distinct().collect()}
+    node = [got.get(keys[x], keys[x]) for x in lines]
+    links = [(a, b) for a in sets for b in sets if a < b and close(sets[a], sets[b])]
+    assert len(links) > 1000
+    together = sum(node[a] == node[b] for a, b in links) / len(links)
+    wrong = sum(node[a] == node[b] and found[a] != found[b] for a in sets for b in sets if a < b)
+    print("links", len(links), "found", together)
+    assert together >= 0.99 and wrong == 0
+
+
+def test_lines_of_texts_of_one_id(spark):
+    a, b, c, d = "boilerplate line of some length", "second beta with other words", "a totally distinct important sentence", "third gamma, once more different"
+    rows = [(1, a), (2, f"{a}\n{b}"), (2, f"{c}\n{d}"), (2, f"{a}\n{b}"), (3, f"{c}\r\n\t{d} \n"), (None, f"{b}\n\n")]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, body int")
+    got = {r["body"]: r["text"] for r in line_dedup.dedup_lines(docs, cut=line_dedup.every_shingle).collect()}
+    assert got == {0: a, 1: "", 2: f"{c}\n{d}", 3: "", 4: "", 5: f"{b}\n\n"}
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
