@@ -9,7 +9,9 @@ columns of ``documents``; ``n_chars`` follows the text.
 2. line_dedup: removes lines that repeat, exactly or nearly, over all documents;
    a document stays even if no line is left.
 3. minhash: of each group of near-duplicate documents (five-word shingles, 0.8)
-   the smallest doc_id stays.  Empty documents link with nothing.
+   the smallest doc_id stays; of rows that repeat doc_id and text one stays, rows
+   that repeat a doc_id with another text are judged by their text.  Empty documents
+   and those without a doc_id link with nothing and all stay.
 4. pii: replaces personal data by its kind.
 5. packing: packs all texts into sequences of at most 4096 tokens.
 
@@ -46,10 +48,20 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def minhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
-    found = minhash.near_duplicates(docs, words=SHINGLE_WORDS, percent=SIMILARITY)
-    gone = publish(found.where("not kept").select(F.col("doc_id").alias("gone")).distinct(), "pipeline-gone")
-    few = gone.count() <= minhash.BROADCAST_ROWS
-    return docs.join(F.broadcast(gone) if few else gone.hint("shuffle_hash"), F.col("doc_id") == F.col("gone"), "left_anti")
+    found = minhash.grouped_documents(docs, words=SHINGLE_WORDS, percent=SIMILARITY)
+    gone = publish(found.where("not leads").select(F.col("doc_id").alias("gone"), F.col("body").alias("gone_body")).distinct(), "pipeline-gone")
+    again = publish(found.where("leads and doc_id is not null").groupBy(F.col("doc_id").alias("again"), F.col("body").alias("again_body")).agg(F.count("*").alias("n")).where("n > 1").drop("n"), "pipeline-again")
+    rows = docs.withColumn("body", F.xxhash64("text"))
+    left = rows.join(_few(gone), (F.col("doc_id") == F.col("gone")) & (F.col("body") == F.col("gone_body")), "left_anti")
+    # of rows that repeat doc_id and text one stays
+    same = (F.col("doc_id") == F.col("again")) & (F.col("body") == F.col("again_body"))
+    once = left.join(_few(again), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(_few(again), same, "left_anti").unionByName(once).select(*COLUMNS)
+
+
+def _few(keys: DataFrame) -> DataFrame:
+    """Pairs of numbers go to all tasks if they are few, else a shuffled join does the same."""
+    return F.broadcast(keys) if keys.count() <= minhash.BROADCAST_ROWS else keys.hint("shuffle_hash")
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
