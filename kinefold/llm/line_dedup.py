@@ -122,8 +122,8 @@ def depth(docs: DataFrame) -> int:
 
 
 def signed(lines: DataFrame, rows: int, tiny: bool = True) -> DataFrame:
-    """(key, n, len, sketch, buckets) of all distinct lines of (line, n), which are dealt by key."""
-    coded = lines.select(_key(F.col("line")), "n", F.length("line").alias("len"), F.encode("line", "UTF-16BE").alias("units"))
+    """(key, n, len, sketch, buckets) of all distinct lines of (key, line, n), which are dealt by key."""
+    coded = lines.select("key", "n", F.length("line").alias("len"), F.encode("line", "UTF-16BE").alias("units"))
     starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor(F.length("units") / 2).cast("int") - CHARACTERS))
     units = coded.select("key", "n", "len", "units", F.explode(starts).alias("i"))
     hashed = units.select("key", "n", "len", F.xxhash64(F.substring("units", F.col("i") * 2 + 1, F.lit(2 * CHARACTERS))).alias("h"))

@@ -269,6 +269,26 @@ def test_added_spans_need_evidence(spark):
         assert [tuple(x) for x in r["base_spans"]] == base(r["text"]) and set(r["base_spans"]) <= set(r["spans"])
 
 
+def test_pii_query_and_long_texts(spark, tmp_path):
+    many = "a.b@c.de " * 3000
+    texts = ["call +1 (555) 123-4567 or 10.0.0.1", many, None, "", "x" * 100000 + " 1.2.3.4", "number 4111 1111 1111 1111 " * 700, "1.2.3.4.5@ab.cd"]
+    rows = list(enumerate(texts)) + [(0, texts[0]), (None, texts[0])]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
+    got = pii.op5_pii(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        spans = base(None if r["doc_id"] == 2 else dict(rows)[r["doc_id"]])
+        shown = ",".join(f"{list(PATTERNS)[k]}:{a}:{b}" for a, k, b in spans)
+        assert r["base_sha256"] == hashlib.sha256(shown.encode()).hexdigest()
+        assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]] == [sum(k == n for _, k, _ in spans) for n in range(4)]
+        every = r["spans"].split(",") if r["spans"] else []
+        assert set(shown.split(",") if shown else []) <= set(every) and r["n_spans"] == len(every) == len(spans) + r["n_added"]
+    clash = spark.createDataFrame([(1, many + "é😀 1.2.3.4 end", "mine")], "doc_id long, text string, Spans string")
+    out = pii.with_spans(clash, pii.NO_TREES).first()
+    assert out["Spans"] == "mine" and len(out["_spans"]) == 3001
+    assert pii.redact(clash, pii.NO_TREES).first()["text"] == "<EMAIL> " * 3000 + "é😀 <IP> end"
+
+
 def test_disguised_spans_are_added(spark):
     rnd = random.Random(12)
     digit = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
