@@ -53,7 +53,7 @@ CHARACTERS = 5
 SHINGLE, STRIDE = 12, 8
 PARTS, MINIMA = 4, 16
 #: Rows of a band at least, and by how many characters of text per further row.
-LEAST_ROWS, GROWTH, CHARACTERS_A_LINE = 6, 16, 256
+LEAST_ROWS, GROWTH, CHARACTERS_A_LINE = 7, 16, 64
 #: Probability that all bands miss a pair of similarity 0.8, and the similarity that deeper buckets tell from it.
 MISS, TEMPLATE = 0.03, 0.6
 TINY, SHORT = 15, 12
@@ -61,10 +61,10 @@ TINY, SHORT = 15, 12
 FAR_BITS, UNSKETCHED = 22, 24
 #: Open lines of a bucket from which on it is replaced by deeper ones.
 HOT = 400
-#: Rows of two or three numbers sent to all tasks at once at most, under 30 MB; beyond it a shuffled join does the same.
-BROADCAST_ROWS = 400_000
+#: Rows of two or three numbers sent to all tasks at once at most, some 50 MB; beyond it a shuffled join does the same.
+BROADCAST_ROWS = 1_000_000
 #: Words of 64 bits of a bitmap.
-WORDS = 64
+WORDS = 96
 BLANK = " \t\r\f\x0b"
 ANCHORED = rf"(?s)(?=(.{{{SHINGLE}}}))[^ \t\r\f\x0B\n]{{1,{STRIDE}}}"
 FIRST = -(1 << 63)
@@ -239,8 +239,8 @@ def _bitmaps(texts: DataFrame, cut: Callable[[Column], Column]) -> DataFrame:
     """(key, n, bits, w0, ...): a line's number of distinct shingles, and the bits that their hashes set."""
     sets = texts.select("key", F.array_distinct(F.transform(cut(F.col("line")), lambda x: F.xxhash64(x))).alias("set"))
     each = sets.select("key", F.size("set").alias("n"), F.explode("set").alias("h"))
-    bit = F.expr("shiftleft(1L, int(shiftright(h, 8) & 63))")
-    words = each.select("key", "n", F.col("h").bitwiseAND(WORDS - 1).cast("int").alias("word"), bit.alias("bit")).groupBy("key", "n", "word").agg(F.bit_or("bit").alias("bits"))
+    bit = F.expr("shiftleft(1L, int(shiftright(h, 40) & 63))")
+    words = each.select("key", "n", F.pmod("h", F.lit(WORDS)).cast("int").alias("word"), bit.alias("bit")).groupBy("key", "n", "word").agg(F.bit_or("bit").alias("bits"))
     maps = words.groupBy("key", "n").agg(F.sum(F.bit_count("bits")).cast("int").alias("bits"), *[F.coalesce(F.max(F.when(F.col("word") == k, F.col("bits"))), F.lit(0)).cast("long").alias(f"w{k}") for k in range(WORDS)])
     return maps
 
@@ -283,7 +283,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, counts: tuple[str, str] | No
     names = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), *_identity(F.col("doc_id"), F.col("text")))
     size = gone.agg(F.count("*").alias("n"), F.sum(F.size("dropped")).alias("lines")).first()
-    few = size["n"] <= BROADCAST_ROWS and (size["lines"] or 0) <= 4 * BROADCAST_ROWS
+    few = size["n"] <= BROADCAST_ROWS // 4 and (size["lines"] or 0) <= BROADCAST_ROWS
     both = rows.join(F.broadcast(gone) if few else gone.hint("shuffle_hash"), ["doc", "body"], "left")
     text = F.when(F.col("dropped").isNull(), F.col("row.text")).otherwise(_without(F.col("row.text"), F.col("dropped")))
     out = [(text if c == "text" else F.col("row").getField(c)).alias(c) for c in names]
