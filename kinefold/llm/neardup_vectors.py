@@ -25,8 +25,8 @@ members, so exact copies of any number are one node.
    new seeds, up to ``ATTEMPTS`` times; if that doesn't help, an error is raised.
 
 Null vectors, vectors with null or non-finite components, zero or empty vectors,
-null labels and null ids link with nothing.  Repeated rows of one vec_id count as
-vectors of their own.  An empty table gives an empty table.  Extra columns are
+null labels and null ids link with nothing.  Repeated rows of one vec_id, with one
+vector or several, count as vectors of their own.  An empty table gives an empty table.  Extra columns are
 ignored.
 """
 
@@ -70,8 +70,12 @@ def usable(vector: Column) -> Column:
 
 
 def classes(vectors: DataFrame) -> DataFrame:
-    """(id, n, space, dims, unit): a row per distinct vector of a label; unit is its direction as doubles."""
-    grouped = vectors.where("label is not null and vec_id is not null").where(usable(F.col("embedding"))).groupBy("label", "embedding").agg(F.min("vec_id").alias("id"), F.count("*").alias("n"))
+    """(id, least, body, n, space, dims, unit): a row per distinct vector of a label; unit is its direction as doubles.
+
+    ``least`` is its smallest vec_id, which with ``body``, a hash, tells classes apart; ``id`` numbers them and is fixed once
+    the table is written.
+    """
+    alike = vectors.where("label is not null and vec_id is not null").where(usable(F.col("embedding"))).groupBy("label", "embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,10 +85,12 @@ def classes(vectors: DataFrame) -> DataFrame:
                 scaled = x / np.abs(x).max()  # so that squares neither overflow nor vanish
                 units.append((scaled / np.sqrt(scaled @ scaled)).tobytes())
                 dims.append(len(x))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n"), batch.column("label"), pa.array(dims, pa.int32()), pa.array(units, pa.binary())], ["id", "n", "label", "dims", "unit"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), pa.array(dims, pa.int32()), pa.array(units, pa.binary())], [*carried, "dims", "unit"])
 
-    found = grouped.select("id", "n", F.col("label").cast("string").alias("label"), "embedding").mapInArrow(run, "id long, n long, label string, dims int, unit binary")
-    return found.select("id", "n", F.xxhash64("label", "dims").alias("space"), "dims", "unit")
+    carried = ["least", "body", "n", "label"]
+    rows = alike.select("least", F.xxhash64("label", "embedding").alias("body"), "n", F.col("label").cast("string").alias("label"), "embedding")
+    found = rows.mapInArrow(run, "least long, body long, n long, label string, dims int, unit binary")
+    return found.select(F.monotonically_increasing_id().alias("id"), "least", "body", "n", F.xxhash64("label", "dims").alias("space"), "dims", "unit")
 
 
 def _connected(link: np.ndarray) -> np.ndarray:
@@ -261,8 +267,8 @@ def exact_links(nodes: DataFrame, candidates: DataFrame, threshold: float) -> Da
         a, b, c = (np.concatenate(x) for x in zip(*out, strict=True))
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(c.astype(np.int64))], ["a", "b", "links"])
 
-    grouped = spread.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "id")
-    return grouped.mapInArrow(grouped(["component", "i", "j"], each), "a long, b long, links long")
+    sorted_ = spread.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "id")
+    return sorted_.mapInArrow(grouped(["component", "i", "j"], each), "a long, b long, links long")
 
 
 def audit(nodes: DataFrame, candidates: DataFrame, threshold: float, seed: int, count: int) -> tuple[float, int]:
@@ -311,7 +317,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     spark = vectors.sparkSession
     vectors = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), "label")
     found = publish(classes(vectors), "vector-classes")
-    nodes = publish(_with_single(found), "vector-nodes")
+    nodes = publish(_with_single(found.select("id", "n", "space", "dims", "unit")), "vector-nodes")
     count = nodes.count()
     links, known, candidates = -1, None, None
     for attempt in range(ATTEMPTS):
@@ -339,15 +345,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     exact = publish(exact_links(nodes, candidates, threshold), "vector-exact")
     final = components(exact.where("a <> b").select("a", "b"), "vector-components")
     counts = exact.groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("others"))
-    told = found.select("id", "n").join(counts, "id", "left").join(final.withColumnRenamed("node", "id"), "id", "left")
-    told = publish(told.select("id", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")), "vector-told")
-    # every row finds its class by its label and vector, through the class's smallest id
-    own = publish(vectors.where("label is not null and vec_id is not null").where(usable(F.col("embedding"))).groupBy("label", "embedding").agg(F.min("vec_id").alias("id")), "vector-ids")
+    told = found.select("id", "least", "body", "n").join(counts, "id", "left").join(final.withColumnRenamed("node", "id"), "id", "left")
+    told = publish(told.select("least", "body", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "id").alias("component")), "vector-told")
+    smallest = publish(told.groupBy("component").agg(F.min("least").alias("component_id")), "vector-smallest")
+    told = told.join(smallest, "component").select("least", "body", "n_links", "component_id")
+    # every row finds its class by its label and vector
+    own = publish(vectors.where("label is not null and vec_id is not null").where(usable(F.col("embedding"))).groupBy("label", "embedding").agg(F.min("vec_id").alias("least")), "vector-ids")
     linkable = F.col("label").isNotNull() & F.col("vec_id").isNotNull() & usable(F.col("embedding"))
     key = F.when(linkable, F.xxhash64("label", "embedding"))
-    keyed = own.select(F.col("id"), F.col("label").alias("l"), F.col("embedding").alias("e"), F.xxhash64("label", "embedding").alias("key"))
+    keyed = own.select("least", F.col("label").alias("l"), F.col("embedding").alias("e"), F.xxhash64("label", "embedding").alias("key"))
     rows = vectors.join(keyed, (key == keyed["key"]) & (F.col("label") == F.col("l")) & (F.col("embedding") == F.col("e")), "left")
-    out = rows.select("vec_id", "id").join(told, "id", "left")
+    out = rows.select("vec_id", "least", keyed["key"].alias("body")).join(told, ["least", "body"], "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), component.eqNullSafe(F.col("vec_id")).alias("kept"))
 

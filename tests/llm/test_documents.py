@@ -385,6 +385,12 @@ def test_vectors_against_brute_force(spark):
     assert neardup_vectors.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_vectors_of_one_id(spark):
+    rows = [(5, [1.0, 0.0], 1), (5, [0.0, 1.0], 1), (6, [1.0, 0.001], 1), (7, [0.0, 1.0], 1), (5, [1.0, 0.0], 2)]
+    got = neardup_vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in got) == [(5, 0, 5, True), (5, 1, 5, True), (5, 1, 5, True), (6, 1, 5, False), (7, 1, 5, False)]
+
+
 def test_full_lists_hide_no_links(spark):
     rng = np.random.default_rng(4)
     first = rng.normal(size=64)
