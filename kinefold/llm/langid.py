@@ -15,7 +15,8 @@ rejected, so that at most ``loss`` of those rows are.
 Predictions depend on the text alone.  Null text and text without a letter get
 ``und``, score 0, and are rejected; so does every text if there is no labelled
 row to learn from.  Repeated rows get equal values; an empty table gives an empty
-table.  Extra columns are carried through; names of new columns must not clash.
+table.  Extra columns are carried through; a new column whose name an input column
+has, in any case, gets underscores in front.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table, text_slices
+from .common import free_names, table, text_slices
 
 BITS = 15
 ORDERS = (2, 3, 4)
@@ -200,6 +201,7 @@ def held_out():
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text", names: tuple[str, str, str] = ("lang_pred", "score", "rejected")) -> DataFrame:
     """Add the predicted language, its calibrated score, and whether the prediction is rejected."""
+    names = tuple(free_names(docs.columns, list(names)))
     if model is None:
         return docs.withColumns({names[0]: F.lit(UNKNOWN), names[1]: F.lit(0.0), names[2]: F.lit(True)})
     shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets x languages: bounded

@@ -354,6 +354,14 @@ def test_language_id(spark):
     assert langid.predict(docs.limit(0), model).count() == 0
 
 
+def test_language_columns_that_clash(spark):
+    docs = spark.createDataFrame([(1, "some text", 0.5, "x")], "doc_id long, text string, SCORE double, lang_pred string")
+    for model in (None, langid.Model(["en"], np.zeros(((1 << langid.BITS) + 1, 1), np.float32), np.zeros(1))):
+        out = langid.predict(docs, model)
+        assert out.columns == ["doc_id", "text", "SCORE", "lang_pred", "_lang_pred", "_score", "rejected"]
+        assert out.first()["SCORE"] == 0.5 and out.first()["_lang_pred"] == ("en" if model else "und")
+
+
 def test_vectors_against_brute_force(spark):
     rng = np.random.default_rng(9)
     rows, k = [], 0
