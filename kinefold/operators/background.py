@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.draws import integer
+from .images import stacks
 from .masks import KEY, feathered
 
 
@@ -39,11 +40,11 @@ def previous_episodes(plan: DataFrame) -> DataFrame:
 def seeded_picks(frames: DataFrame, episodes: DataFrame, previous: DataFrame, history: int = 24, pool: int = 50, seed: int = 42) -> DataFrame:
     """Like :func:`picks`, but the pool starts with even frames of the previous episode; the newest stay.
 
-    Adds bg_episode and bg_frame.  Pool entry k is the previous episode's k-th even frame, then come the
+    Adds bg_episode, bg_frame and bg_own, whether it is one of the episode's own frames.  Pool entry k is the previous episode's k-th even frame, then come the
     episode's own frames; so an entry's frame is arithmetic, and a range join is never needed.
     """
     size = episodes.select(F.col("episode_index").alias("prev_episode"), F.greatest(F.lit(1), F.floor(F.col("length") / pool)).alias("prev_step"), F.col("length").alias("prev_length"))
-    known = previous.join(size, "prev_episode", "left").select("segment", "episode_index", "prev_episode", "prev_step", F.coalesce(F.least(F.ceil(F.col("prev_length") / F.col("prev_step")), F.lit(pool)), F.lit(0)).alias("seeds"))
+    known = previous.join(size, "prev_episode", "left").select("segment", "episode_index", "prev_episode", "prev_step", F.when(F.col("prev_length").isNull(), 0).otherwise(F.least(F.ceil(F.col("prev_length") / F.col("prev_step")), F.lit(pool))).alias("seeds"))
     rows = frames.join(known, "episode_index")
     i, seeds = F.col("frame_index"), F.col("seeds")
     total = i + seeds
@@ -54,6 +55,7 @@ def seeded_picks(frames: DataFrame, episodes: DataFrame, previous: DataFrame, hi
         "segment", *KEY,
         F.when(total == 0, F.col("episode_index")).when(own, F.col("episode_index")).otherwise(F.col("prev_episode")).alias("bg_episode"),
         F.when(total == 0, i).when(own, entry - seeds).otherwise(entry * F.col("prev_step")).cast("long").alias("bg_frame"),
+        ((total == 0) | own).alias("bg_own"),
     )
 
 
@@ -70,13 +72,19 @@ def fan_out(frames: DataFrame, pool_size: int, per_frame: int = 2, seed: int = 4
 
 
 def composite(rows: DataFrame, feather: int = 10) -> DataFrame:
-    """Blend pixels over bg_pixels by the feathered mask; a background of another size is resized to the nearest pixel."""
+    """Blend pixels over bg_pixels by the feathered mask; a background of another size is resized to the nearest pixel.
+
+    Rows with null pixels, mask or background stay; all columns but those of the background are kept.
+    """
+    names = [c for c in rows.columns if c not in ("bg_pixels", "bg_h", "bg_w")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             pdf = pdf.reset_index(drop=True)
             out = pdf["pixels"].astype(object)
-            for (h, w, c, bh, bw), part in pdf.groupby(["h", "w", "c", "bg_h", "bg_w"], sort=False):
+            full = pdf[pdf[["pixels", "mask", "bg_pixels"]].notna().all(axis=1)]
+            for key, part in stacks(full, ["h", "w", "c", "bg_h", "bg_w"], lambda h, w, c, bh, bw: c * (h * w + int(bh) * int(bw))):
+                h, w, c, bh, bw = map(int, key)
                 take = lambda col, *s: np.frombuffer(b"".join(part[col]), np.uint8).reshape(len(part), *s)  # noqa: B023, E731
                 fg, bg, mask = take("pixels", h, w, c).astype(float), take("bg_pixels", bh, bw, c), take("mask", h, w)
                 if (bh, bw) != (h, w):
@@ -84,9 +92,9 @@ def composite(rows: DataFrame, feather: int = 10) -> DataFrame:
                 alpha = feathered(mask, feather)[..., None]
                 for i, x in zip(part.index, (alpha * fg + (1 - alpha) * bg).astype(np.uint8), strict=True):
                     out[i] = x.tobytes()
-            yield pdf[[*KEY, "h", "w", "c"]].assign(pixels=out)
+            yield pdf[names].assign(pixels=out)
 
-    return rows.mapInPandas(run, "episode_index long, frame_index long, camera string, h int, w int, c int, pixels binary")
+    return rows.mapInPandas(run, rows.select(*names).schema)
 
 
 def on_backgrounds(images: DataFrame, masks: DataFrame, chosen: DataFrame, feather: int = 10) -> DataFrame:
@@ -97,4 +105,4 @@ def on_backgrounds(images: DataFrame, masks: DataFrame, chosen: DataFrame, feath
     chosen = chosen if "bg_episode" in chosen.columns else chosen.withColumn("bg_episode", F.col("episode_index"))
     back = images.select(F.col("episode_index").alias("bg_episode"), F.col("frame_index").alias("bg_frame"), "camera", F.col("h").alias("bg_h"), F.col("w").alias("bg_w"), F.col("pixels").alias("bg_pixels"))
     rows = images.join(masks.select(*KEY, "mask"), list(KEY)).join(chosen, list(KEY)).join(back, ["bg_episode", "bg_frame", "camera"])
-    return composite(rows, feather)
+    return composite(rows, feather).select(*KEY, "h", "w", "c", "pixels")

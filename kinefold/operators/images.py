@@ -1,7 +1,7 @@
 """Image operators on raw pixels (height x width x channels, one byte each).
 
-Parameters are drawn as columns from hashes; numpy helpers work on all images of a
-batch that have one shape, and see no more than a batch.
+Parameters are drawn as columns from hashes; numpy helpers work on stacks of images of
+one shape, of ``STACK_BYTES`` at most.
 """
 
 from __future__ import annotations
@@ -16,13 +16,23 @@ from pyspark.sql import functions as F
 from ..functions.draws import between, integer, uniform
 
 Fn = Callable[[np.ndarray, pd.DataFrame], np.ndarray]
+#: Of pixels as bytes; helpers need some ten times as much for their numbers.
+STACK_BYTES = 8 << 20
+
+
+def stacks(pdf: pd.DataFrame, shape: list[str], size: Callable[..., int]) -> Iterator[tuple[tuple, pd.DataFrame]]:
+    """Rows of one shape, in parts of at most STACK_BYTES (at least a row); ``size`` tells a row's bytes from its shape."""
+    for key, rows in pdf.groupby(shape, sort=False):
+        step = max(1, STACK_BYTES // max(1, size(*key)))
+        for k in range(0, len(rows), step):
+            yield key, rows.iloc[k : k + step]
 
 
 def per_shape(pdf: pd.DataFrame, fn: Fn, column: str = "pixels") -> pd.Series:
     """Apply ``fn`` to stacks (n, h, w, c) of rows of one shape; null pixels stay null."""
     out = pd.Series([None] * len(pdf), index=pdf.index, dtype=object)
     full = pdf[pdf[column].notna()]
-    for (h, w, c), rows in full.groupby(["h", "w", "c"], sort=False):
+    for (h, w, c), rows in stacks(full, ["h", "w", "c"], lambda h, w, c: h * w * c):
         stack = np.frombuffer(b"".join(rows[column]), np.uint8).reshape(len(rows), h, w, c)
         for i, x in zip(rows.index, fn(stack, rows), strict=True):
             out[i] = np.ascontiguousarray(x).astype(np.uint8).tobytes()
@@ -150,6 +160,12 @@ def static_rectangles(plan: DataFrame, h: int, w: int, scale=(0.02, 0.15), seed:
     return plan.withColumns(rectangle(F.lit(h), F.lit(w), scale, (0.5, 2.0), *key))
 
 
+def episode_rectangles(images: DataFrame, scale=(0.02, 0.15), seed: int = 42) -> DataFrame:
+    """The rectangles of :func:`static_rectangles` for images of any size; a hash of the episode draws, so nothing is joined."""
+    key = (str(seed), F.col("segment"), F.col("episode_index"), "static")
+    return images.withColumns(rectangle(F.col("h"), F.col("w"), scale, (0.5, 2.0), *key))
+
+
 def random_rectangles(images: DataFrame, p: float = 0.5, scale=(0.02, 0.15), seed: int = 42) -> DataFrame:
     """A rectangle for about a share ``p`` of the images; the others get one without height."""
     key = (str(seed), *image_key(images), "erase")
@@ -190,16 +206,19 @@ def boxed(images: DataFrame, boxes: DataFrame, width: int = 3, color=(0, 255, 0)
     return apply(images.join(lists, key, "left"), run).drop("_boxes")
 
 
-def blob_paths(lengths: DataFrame, h: int, w: int, radius: int = 30, speed: float = 2.0, seed: int = 42) -> DataFrame:
+def blob_paths(lengths: DataFrame, h: int | None, w: int | None, radius: int = 30, speed: float = 2.0, seed: int = 42) -> DataFrame:
     """Centre of the drifting blob for each frame: a reflected walk with a capped speed.
 
-    ``lengths`` has segment, episode_index, camera and usable_len.  The walk is sequential, so a helper steps
+    ``lengths`` has segment, episode_index, camera and usable_len, and h and w where these are None.  The walk is sequential, so a helper steps
     through scalars alone; each sequence is a row and needs no grouping.
     """
 
+    all_h, all_w = h, w
+
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for r in pdf.itertuples():
+                h, w = (r.h, r.w) if all_h is None else (all_h, all_w)
                 rng = np.random.default_rng([seed, r.segment + 2, r.episode_index, *r.camera.encode()])
                 r_y, r_x = min(radius, h / 2), min(radius, w / 2)
                 at = np.array([rng.uniform(r_y, h - r_y), rng.uniform(r_x, w - r_x)])

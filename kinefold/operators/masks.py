@@ -8,8 +8,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .images import convolved, kernel
+from .images import convolved, kernel, stacks
 
 KEY = ("episode_index", "frame_index", "camera")
 LEAST, MOST = 0.01, 0.80
@@ -44,14 +45,14 @@ def brightness_mask(stack: np.ndarray, threshold: float = 100.0, use_luma: bool
 def predict(images: DataFrame, mask_fn: Callable[[np.ndarray], np.ndarray] = brightness_mask) -> DataFrame:
     """A mask and its coverage for each image, by any function from stacks of images to stacks of 0 and 1.
 
-    A model comes in here: the function runs once per batch and shape.
+    A model comes in here: the function runs on stacks of bounded size.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             mask, cover = [None] * len(pdf), [None] * len(pdf)
             pdf = pdf.reset_index(drop=True)
-            for (h, w, c), rows in pdf[pdf["pixels"].notna()].groupby(["h", "w", "c"], sort=False):
+            for (h, w, c), rows in stacks(pdf[pdf["pixels"].notna()], ["h", "w", "c"], lambda h, w, c: h * w * c):
                 found = mask_fn(np.frombuffer(b"".join(rows["pixels"]), np.uint8).reshape(len(rows), h, w, c))
                 for i, m in zip(rows.index, found, strict=True):
                     mask[i], cover[i] = m.astype(np.uint8).tobytes(), float(m.mean())
@@ -60,6 +61,43 @@ def predict(images: DataFrame, mask_fn: Callable[[np.ndarray], np.ndarray] = bri
     return images.mapInPandas(run, "episode_index long, frame_index long, camera string, h int, w int, mask binary, coverage double")
 
 
+def reused(images: DataFrame, mask_fn: Callable[[np.ndarray], np.ndarray] = brightness_mask, stride: int = 5) -> DataFrame:
+    """Images with mask, coverage and kind by the rule of :func:`sources`, but predicted only where the rule asks.
+
+    A sequence (episode, camera and size) streams through one task in frame order, which keeps its last good mask
+    alone.  Where there is none, a bad prediction gives way to the heuristic.  Null pixels have a null mask.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at = last = kept = None
+        for pdf in batches:
+            found = []
+            for r in pdf.itertuples(index=False):
+                if (r.episode_index, r.camera, r.h, r.w) != at:
+                    at, last, kept = (r.episode_index, r.camera, r.h, r.w), None, None
+                if r.pixels is None:
+                    found.append((None, None, "fallback"))
+                elif kept and r.frame_index - last < stride:
+                    found.append((*kept, "cached"))
+                else:
+                    image = np.frombuffer(r.pixels, np.uint8).reshape(1, r.h, r.w, r.c)
+                    mask = mask_fn(image)[0].astype(np.uint8)
+                    if LEAST <= mask.mean() <= MOST:
+                        last, kept = r.frame_index, (mask.tobytes(), float(mask.mean()))
+                        found.append((*kept, "predicted"))
+                    elif kept:
+                        found.append((*kept, "fallback"))
+                    else:
+                        plain = brightness_mask(image)[0]
+                        found.append((plain.tobytes(), float(plain.mean()), "fallback"))
+            mask, coverage, kind = zip(*found, strict=True) if found else ((), (), ())
+            yield pdf.assign(mask=pd.Series(mask, pdf.index, object), coverage=pd.Series(coverage, pdf.index, "Float64"), kind=pd.Series(kind, pdf.index, object))
+
+    schema = T.StructType(list(images.schema.fields)).add("mask", "binary").add("coverage", "double").add("kind", "string")
+    order = ("episode_index", "camera", "h", "w", "frame_index")
+    return images.repartition("episode_index", "camera").sortWithinPartitions(*order).mapInPandas(run, schema)
+
+
 def bad(coverage: Column) -> Column:
     return coverage.isNull() | (coverage < LEAST) | (coverage > MOST)
 

@@ -1,14 +1,16 @@
-"""End-to-end jobs.  Each takes and returns DataFrames and runs no action."""
+"""End-to-end jobs.  Each takes and returns DataFrames; an action is run only to compose backgrounds."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import mirrored, noisy
-from ..operators import background, images as im, masks as mk
+from ..operators import images as im, masks as mk
 from ..operators.metrics import autocorrelation, chunk_length, motion
 from ..operators.planning import ORIGINALS, build_plan, plan_totals
 from ..operators.prefilter import kept_episodes, scores
@@ -16,7 +18,8 @@ from ..operators.resample import renumbered, resample
 from ..operators.smoothing import smooth
 from ..operators.statistics import by_dimension, dataset_summary, quality
 from ..sources.datasets import episodes as of_frames
-from .recipes import Recipe
+from .augmentations import REGISTRY, Context
+from .recipes import OTHERS, Recipe
 
 
 @dataclass(frozen=True)
@@ -63,43 +66,29 @@ def augment_job(frames: DataFrame, recipe: Recipe, episodes: DataFrame | None =
     return Augmented(plan, renumbered(rows))
 
 
-def augment_images_job(images: DataFrame, augmented: Augmented, recipe: Recipe, feather: int = 10, blob_radius: int = 30, size: tuple[int, int] = (480, 640), boxes: DataFrame | None = None) -> DataFrame:
-    """The image branch of a plan: every index is decided on scalars, pixels are joined last.
+def augment_images_job(images: DataFrame, augmented: Augmented, recipe: Recipe, boxes: DataFrame | None = None, mask_fn: Callable[[np.ndarray], np.ndarray] = mk.brightness_mask) -> DataFrame:
+    """The image branch of a plan: flip comes first, then the augmentations as listed; originals stay as they are.
 
-    Flip comes first, then the listed augmentations; originals stay as they are.
+    With ``background``, a column mask has 0 and 1 by pixel, zeros where none was predicted; the job then writes masks
+    on the way, so it is not lazy.  :func:`masks.mask_rgb` makes images of masks.
     """
-    keys = augmented.frames.select("segment", F.col("source_episode").alias("episode_index"), F.col("src_frame").alias("frame_index"), F.col("episode_index").alias("out_episode"), F.col("frame_index").alias("out_frame"))
-    source = images
-    if "background" in recipe.augmentations:
-        if recipe.box_overlay:
-            source = im.boxed(images, boxes) if boxes is not None else images
-        else:
-            found = mk.predict(images)
-            reuse = mk.sources(found, recipe.mask_stride).select(*mk.KEY, F.coalesce("mask_src", "frame_index").alias("mask_src"))
-            shown = reuse.join(found.select("episode_index", F.col("frame_index").alias("mask_src"), "camera", "mask"), ["episode_index", "mask_src", "camera"])
-            source = background.on_backgrounds(images, shown, background.picks(images, recipe.background_history, recipe.seed), feather)
-    changed = keys.where(F.col("segment") != ORIGINALS).join(source, ["episode_index", "frame_index"])
+    keys = augmented.frames.select("segment", F.col("source_episode").alias("src_episode"), F.col("src_frame"), "episode_index", "frame_index")
+    source = images.select(F.col("episode_index").alias("src_episode"), F.col("frame_index").alias("src_frame"), "camera", "h", "w", "c", "pixels")
+    both = ["src_episode", "src_frame"]
+    passes = keys.where(F.col("segment") != ORIGINALS)
+    context = Context(recipe, augmented.plan, passes.join(source.drop("c", "pixels"), both), images, boxes, mask_fn)
+    changed = passes.join(source, both).drop(*both)
     if "horizontal_flip" in recipe.augmentations:
         changed = im.flip(changed)
     for name in recipe.augmentations:
-        if name == "color_jitter":
-            changed = im.color_jitter(changed, seed=recipe.seed)
-        elif name == "gaussian_blur":
-            changed = im.gaussian_blur(changed, seed=recipe.seed)
-        elif name == "sharpness":
-            changed = im.sharpen(changed)
-        elif name == "random_erasing":
-            changed = im.erase(im.random_rectangles(changed, seed=recipe.seed)).drop("rect_h", "rect_w", "rect_top", "rect_left")
-        elif name == "static_erasing":
-            rect = im.static_rectangles(augmented.plan.select("segment", "episode_index").distinct(), *size, seed=recipe.seed)
-            changed = im.erase(changed.join(rect, ["segment", "episode_index"])).drop("rect_h", "rect_w", "rect_top", "rect_left")
-        elif name == "drifting_blob":
-            lengths = augmented.plan.select("segment", "episode_index", "usable_len").crossJoin(F.broadcast(images.select("camera").distinct()))  # a few cameras
-            path = im.blob_paths(lengths, *size, blob_radius, seed=recipe.seed).withColumnRenamed("frame_index", "out_frame")
-            changed = im.paint_blob(changed.join(path, ["segment", "episode_index", "camera", "out_frame"]), blob_radius).drop("cy", "cx")
-    kept = keys.where(F.col("segment") == ORIGINALS).join(images, ["episode_index", "frame_index"])
-    out = changed.unionByName(kept)
-    return out.select("segment", F.col("out_episode").alias("episode_index"), F.col("out_frame").alias("frame_index"), "camera", "h", "w", "c", "pixels")
+        if name not in OTHERS:
+            changed = REGISTRY[name](changed, context)
+    kept = keys.where(F.col("segment") == ORIGINALS).join(source, both)
+    out = changed.unionByName(kept, allowMissingColumns=True)
+    columns = ["segment", "episode_index", "frame_index", "camera", "h", "w", "c", "pixels"]
+    if "background" in recipe.augmentations:
+        columns.append(F.coalesce("mask", F.unhex(F.expr("repeat('00', h * w)"))).alias("mask"))
+    return out.select(*columns)
 
 
 def profile_job(frames: DataFrame, fps: float = 50.0) -> dict[str, DataFrame]:

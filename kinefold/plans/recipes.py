@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, fields, replace
 
-from ..functions.vectors import TWO_ARMS, MirrorSpec
+from ..functions.vectors import TWO_ARMS, MirrorSpec, mirror_spec
 from ..operators.planning import Temporal
 from ..operators.prefilter import Gate
+from .augmentations import REGISTRY
 
-IMAGE_ORDER = ("color_jitter", "gaussian_blur", "sharpness", "random_erasing", "static_erasing", "drifting_blob", "background")
-AUGMENTATIONS = (*IMAGE_ORDER, "frame_decimate", "horizontal_flip")
+#: Augmentations that are not functions of images alone.
+OTHERS = ("frame_decimate", "horizontal_flip")
 
 
 @dataclass(frozen=True)
@@ -44,19 +45,39 @@ class Recipe:
     mask_stride: int = 5
     background_history: int = 24
     box_overlay: bool = False
+    feather: int = 10
+    brightness: tuple[float, float] = (0.8, 1.2)
+    contrast: tuple[float, float] = (0.8, 1.2)
+    saturation: tuple[float, float] = (0.5, 1.5)
+    hue: tuple[float, float] = (-0.05, 0.05)
+    blur_size: int = 5
+    blur_sigma: tuple[float, float] = (0.1, 2.0)
+    sharpness_factor: float = 2.0
+    erasing_p: float = 0.5
+    erasing_scale: tuple[float, float] = (0.02, 0.15)
+    blob_radius: int = 30
+    blob_speed: float = 2.0
+    blob_softness: float = 0.6
+    blob_opacity: float = 0.5
+    action_signs: tuple[float, ...] | None = None
+    state_signs: tuple[float, ...] | None = None
     seed: int = 42
 
     def __post_init__(self) -> None:
-        unknown = [a for a in self.augmentations if a not in AUGMENTATIONS]
+        known = (*REGISTRY, *OTHERS)
+        unknown = [a for a in self.augmentations if a not in known]
         if unknown:
-            raise ValueError(f"unknown augmentations {unknown}; there are {', '.join(AUGMENTATIONS)}")
+            raise ValueError(f"unknown augmentations {unknown}; there are {', '.join(known)}")
         if self.smooth_window < 3 or self.smooth_order < 1:
             raise ValueError("the smoothing window is at least 3 and the order at least 1")
         if "background" in self.augmentations and "random_erasing" in self.augmentations:
             at = self.augmentations.index
             if at("random_erasing") < at("background"):
                 raise ValueError("erasing must not come before masking")
+        if self.blur_size < 1 or self.blur_size % 2 == 0:
+            raise ValueError("the size of a blur is odd")
         self.temporal()
+        self.mirror()
 
     def temporal(self) -> Temporal:
         decimate = self.remove_every_n if "frame_decimate" in self.augmentations else None
@@ -68,7 +89,10 @@ class Recipe:
         return Gate(self.prefilter_mode, self.prefilter_sample_every_n, self.sparc_threshold, self.saturation_limit, self.saturation_threshold, self.min_action_delta, self.max_action_jerk, fps)
 
     def mirror(self) -> MirrorSpec | None:
-        return TWO_ARMS if self.two_arms and "horizontal_flip" in self.augmentations else None
+        """How a flip mirrors action and state; an error if neither a robot nor both signs tell."""
+        if "horizontal_flip" not in self.augmentations:
+            return None
+        return mirror_spec(TWO_ARMS if self.two_arms else None, self.action_signs, self.state_signs)
 
     def excluded(self) -> tuple[int, ...]:
         """Grippers switch rather than move, so the two-arm robot's aren't smoothed by default."""

@@ -164,7 +164,7 @@ def c8_background_pick(spark, sf_dir):
 
 _ENTRY = f"""
 seeded AS (
-  SELECT v.episode_index, v.frame_index, p.segment, p.prev_episode, q.step AS prev_step, coalesce(least(ceil(q.length/q.step::DOUBLE)::BIGINT, 20), 0) AS seeds
+  SELECT v.episode_index, v.frame_index, p.segment, p.prev_episode, q.step AS prev_step, CASE WHEN q.length IS NULL THEN 0 ELSE least(ceil(q.length/q.step::DOUBLE)::BIGINT, 20) END AS seeds
   FROM vectors v JOIN (SELECT segment, episode_index, lag(episode_index) OVER (PARTITION BY segment ORDER BY episode_index) AS prev_episode FROM (SELECT DISTINCT episode_index FROM vectors), (SELECT unnest(range(2)) AS segment) s) p USING (episode_index)
   LEFT JOIN (SELECT episode_index AS prev_episode, count(*) AS length, greatest(1, count(*) // 20) AS step FROM vectors GROUP BY 1) q USING (prev_episode)),
 entries AS (SELECT *, frame_index + seeds AS total, frame_index + seeds - 1 - {integer_sql("(least(frame_index + seeds, 24) - 1)", "'42'", "segment", "episode_index", "'top'", "frame_index", "'seeded'")} AS entry FROM seeded)"""
@@ -287,12 +287,12 @@ def k3_augment_images_job(spark, sf_dir):
     recipe = resolve("v7", prefilter=False, num_passes=1, augmentations=("color_jitter", "gaussian_blur", "sharpness", "random_erasing", "static_erasing", "horizontal_flip"))
     frames = vector_frames(spark, sf_dir)
     made = jobs.augment_job(frames, recipe)
-    return checksums(jobs.augment_images_job(images(spark, sf_dir), made, recipe, size=(IMAGE_SIZE, IMAGE_SIZE)), 3, "segment")
+    return checksums(jobs.augment_images_job(images(spark, sf_dir), made, recipe), 3, "segment")
 
 
 @query()
 def k3_composite_images_job(spark, sf_dir):
-    recipe = resolve("v9", prefilter=False, num_passes=1, augmentations=("horizontal_flip", "background"))
+    recipe = resolve("v9", prefilter=False, num_passes=1, feather=1)
     frames = vector_frames(spark, sf_dir)
     made = jobs.augment_job(frames, recipe)
-    return checksums(jobs.augment_images_job(images(spark, sf_dir), made, recipe, feather=1, size=(IMAGE_SIZE, IMAGE_SIZE)), 3, "segment")
+    return checksums(jobs.augment_images_job(images(spark, sf_dir), made, recipe), 3, "segment")

@@ -83,17 +83,22 @@ def output_frames(frames: DataFrame) -> DataFrame:
     return frames.select(task.alias("task"), *columns)
 
 
-def write_frames(frames: DataFrame, path: str, force: bool = False, buckets: int | None = None) -> None:
+def write_frames(frames: DataFrame, path: str, force: bool = False, buckets: int | None = None, run: int = 65_536) -> None:
     """Write frames by episode, in frame order; without ``force`` an earlier output is an error.
 
-    Episodes are dealt to files by a hash, and a long one may be cut by frame ranges, so that no file holds
+    Episodes are dealt to files by a hash, and a long one is cut into runs of frames, so that no file holds
     an episode without bound.
     """
-    cut = F.floor(F.col("frame_index") / 65536)
+    cut = F.floor(F.col("frame_index") / run)
     dealt = frames.repartition(*([buckets] if buckets else []), "episode_index", cut)
     dealt.sortWithinPartitions("episode_index", "frame_index").write.mode("overwrite" if force else "errorifexists").parquet(path)
 
 
+def write_images(images: DataFrame, path: str, force: bool = False) -> None:
+    """Write images, and their masks if there are any, like frames, in shorter runs."""
+    write_frames(images, path, force, run=256)
+
+
 def write_scores(scores: DataFrame, path: str, force: bool = False) -> None:
     """The score report as JSON lines, nulls included."""
     scores.write.mode("overwrite" if force else "errorifexists").option("ignoreNullFields", "false").json(path)
