@@ -42,7 +42,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import grouped, new_path, publish, remove, runs, table
+from .common import Scratch, grouped, publish, runs, table
 from .components import components
 
 TABLES = 6
@@ -212,16 +212,16 @@ def _linking(graph: DataFrame, threshold: float) -> DataFrame:
     return graph.where(F.col("link") | (F.col("sim") >= threshold - SLACK)).select(F.col("u").alias("a"), F.col("v").alias("b"))
 
 
-def meetings(nodes: DataFrame, graph: DataFrame, candidates: DataFrame, threshold: float, attempt: int) -> DataFrame | None:
+def meetings(nodes: DataFrame, graph: DataFrame, candidates: DataFrame, threshold: float, attempt: int, scratch: Scratch) -> DataFrame | None:
     """(a, b): representatives of components with full lists, of which members could link; None if there are no two."""
     lists = graph.where("listed").groupBy(F.col("u").alias("node")).agg(F.count("*").alias("size"), F.min("sim").alias("worst"))
     full = lists.where((F.col("size") >= NEIGHBOURS) & (F.col("worst") >= threshold - SLACK)).select("node")
-    held = publish(candidates.join(full, "node").join(nodes.withColumnRenamed("id", "node"), "node").select("component", "node", "vector"), "vector-full")
-    chosen = publish(held.groupBy("component").agg(F.min("node").alias("id")), "vector-chosen")
+    held = scratch.publish(candidates.join(full, "node").join(nodes.withColumnRenamed("id", "node"), "node").select("component", "node", "vector"), "vector-full")
+    chosen = scratch.publish(held.groupBy("component").agg(F.min("node").alias("id")), "vector-chosen")
     count = chosen.count()
     if count < 2:
         return None
-    reps = publish(nodes.join(chosen.select("id"), "id"), "vector-reps")
+    reps = scratch.publish(nodes.join(chosen.select("id"), "id"), "vector-reps")
     pairs = held.join(chosen.join(reps.select("id", F.col("vector").alias("other")), "id"), "component").select("id", "vector", "other")
 
     def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,24 +230,24 @@ def meetings(nodes: DataFrame, graph: DataFrame, candidates: DataFrame, threshol
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sims, pa.float64())], ["id", "sim"])
 
     angle = lambda sim: F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), sim)))
-    radius = publish(pairs.mapInArrow(apart, "id long, sim double").groupBy("id").agg(angle(F.min("sim") - SLACK).alias("radius")), "vector-radius")
-    edges = publish(seeds(reps, count, attempt).withColumn("link", F.lit(False)), "vector-rep-edges")
+    radius = scratch.publish(pairs.mapInArrow(apart, "id long, sim double").groupBy("id").agg(angle(F.min("sim") - SLACK).alias("radius")), "vector-radius")
+    edges = scratch.publish(seeds(reps, count, attempt).withColumn("link", F.lit(False)), "vector-rep-edges")
     for _ in range(2):
-        around = publish(best(edges, None), "vector-rep-graph")
-        edges = publish(edges.unionByName(descend(reps, around, lengths(around, 2.0), 2.0)).dropDuplicates(["u", "v"]), "vector-rep-edges")
+        around = scratch.publish(best(edges, None), "vector-rep-graph")
+        edges = scratch.publish(edges.unionByName(descend(reps, around, lengths(around, 2.0), 2.0)).dropDuplicates(["u", "v"]), "vector-rep-edges")
     of = lambda n: radius.select(F.col("id").alias(n), F.col("radius").alias(f"r{n}"))
     near = edges.join(of("u"), "u").join(of("v"), "v").where(angle(F.col("sim") + SLACK) <= F.lit(math.acos(threshold - SLACK)) + F.col("ru") + F.col("rv"))
     return near.select(F.col("u").alias("a"), F.col("v").alias("b"))
 
 
-def exact_links(nodes: DataFrame, candidates: DataFrame, threshold: float) -> DataFrame:
+def exact_links(nodes: DataFrame, candidates: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     """(a, b, links): for each node its links' number in a pair of blocks, and a linked node of its own or b = a.
 
     All pairs within a candidate component are compared in double precision.  Edges (a, b) of a pair of blocks
     connect what links connect there.
     """
     rows = nodes.join(candidates.withColumnRenamed("node", "id"), "id").select("component", "id", "n", F.col("unit").alias("vector"))
-    sizes = publish(rows.groupBy("component").agg(F.count("*").alias("size")), "vector-sizes")
+    sizes = scratch.publish(rows.groupBy("component").agg(F.count("*").alias("size")), "vector-sizes")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = rows.join(sizes, "component").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")))
@@ -314,39 +314,39 @@ def _audited(nodes: DataFrame, candidates: DataFrame, threshold: float, seed: in
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     """vec_id, n_links, component_id and kept, one row per row of ``vectors`` (vec_id, embedding, label)."""
-    spark = vectors.sparkSession
+    scratch = Scratch(vectors.sparkSession)
     vectors = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), "label")
-    found = publish(classes(vectors), "vector-classes")
-    nodes = publish(_with_single(found.select("id", "n", "space", "dims", "unit")), "vector-nodes")
+    found = scratch.publish(classes(vectors), "vector-classes")
+    nodes = scratch.publish(_with_single(found.select("id", "n", "space", "dims", "unit")), "vector-nodes")
     count = nodes.count()
     links, known, candidates = -1, None, None
     for attempt in range(ATTEMPTS):
         edges = seeds(nodes, count, attempt).withColumn("link", F.col("sim") >= threshold - SLACK)
-        graph = publish(best(edges if known is None else edges.unionByName(known), None), "vector-graph")
+        graph = scratch.publish(best(edges if known is None else edges.unionByName(known), None), "vector-graph")
         for _ in range(ROUNDS):
-            state = publish(lengths(graph, threshold), "vector-lists")
-            path = new_path(spark, "vector-graph")
-            graph = publish(best(graph.drop("listed").unionByName(descend(nodes, graph, state, threshold)), state.select("u", "length")), "vector-graph", path)
+            state = scratch.publish(lengths(graph, threshold), "vector-lists")
+            graph = scratch.publish(best(graph.drop("listed").unionByName(descend(nodes, graph, state, threshold)), state.select("u", "length")), "vector-graph")
             now = _linking(graph, threshold).count()
             if now == links:
                 break
             links = now
         known = graph.select("u", "v", "sim", (F.col("link") | (F.col("sim") >= threshold - SLACK)).alias("link"))
-        candidates = publish(components(_linking(graph, threshold), "vector-components"), "vector-candidates")
-        met = meetings(nodes, graph, candidates, threshold, attempt)
+        candidates = scratch.publish(components(_linking(graph, threshold), "vector-components", scratch), "vector-candidates")
+        met = meetings(nodes, graph, candidates, threshold, attempt, scratch)
         if met is not None:
-            candidates = publish(components(_linking(graph, threshold).unionByName(met), "vector-components"), "vector-candidates")
+            candidates = scratch.publish(components(_linking(graph, threshold).unionByName(met), "vector-components", scratch), "vector-candidates")
         recall, audited = audit(nodes, candidates, threshold, attempt, count)
         log.info("attempt %d: %d link entries, audited recall %.4f of %d links", attempt, links, recall, audited)
         if recall >= RECALL:
             break
     else:
         raise RuntimeError(f"only {recall:.4f} of {audited} audited links were found in {ATTEMPTS} attempts, fewer than {RECALL}")
-    exact = publish(exact_links(nodes, candidates, threshold), "vector-exact")
-    final = components(exact.where("a <> b").select("a", "b"), "vector-components")
+    exact = scratch.publish(exact_links(nodes, candidates, threshold, scratch), "vector-exact")
+    final = components(exact.where("a <> b").select("a", "b"), "vector-components", scratch)
     counts = exact.groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("others"))
     told = found.select("id", "least", "body", "n").join(counts, "id", "left").join(final.withColumnRenamed("node", "id"), "id", "left")
     told = publish(told.select("least", "body", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "id").alias("component")), "vector-told")
+    scratch.remove()  # what follows reads the input, told and tables made of them alone
     smallest = publish(told.groupBy("component").agg(F.min("least").alias("component_id")), "vector-smallest")
     told = told.join(smallest, "component").select("least", "body", "n_links", "component_id")
     # every row finds its class by its label and vector
