@@ -148,25 +148,32 @@ def seeds(nodes: DataFrame, count: int, attempt: int) -> DataFrame:
     return ordered.mapInArrow(near, "u long, v long, sim double").where("u <> v")
 
 
-def best(edges: DataFrame, lengths: DataFrame | None) -> DataFrame:
-    """Edges with ``listed`` for the best neighbours of each node: NEIGHBOURS, or the length given for the node.
+def _no_length() -> Column:
+    return F.lit(None).cast("int").alias("length")
 
-    Edges with ``link`` stay whether listed or not.
+
+def best(edges: DataFrame) -> DataFrame:
+    """Edges with ``listed`` for the best neighbours of each node: NEIGHBOURS, or the ``length`` that some edge of the node tells.
+
+    Edges with ``link`` stay whether listed or not.  ``place`` ranks a node's edges; ``size`` and ``worst`` are its list's length
+    and last similarity, so that lists need no further shuffle.
     """
-    each = edges.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.max("link").alias("link"))
-    ranked = each.withColumn("place", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("sim"), "v")))
-    if lengths is None:
-        ranked = ranked.withColumn("listed", F.col("place") <= NEIGHBOURS)
-    else:
-        ranked = ranked.join(lengths, "u", "left").withColumn("listed", F.col("place") <= F.coalesce("length", F.lit(NEIGHBOURS)))
-    return ranked.where("listed or link").select("u", "v", "sim", "link", "listed")
+    # dealt by u once, for the aggregation and the windows alike
+    each = edges.repartition("u").groupBy("u", "v").agg(F.max("sim").alias("sim"), F.max("link").alias("link"), F.max("length").alias("length"))
+    own = Window.partitionBy("u")
+    ranked = each.withColumn("place", F.row_number().over(own.orderBy(F.desc("sim"), "v"))).withColumn("listed", F.col("place") <= F.coalesce(F.max("length").over(own), F.lit(NEIGHBOURS)))
+    ranked = ranked.withColumn("size", F.sum(F.col("listed").cast("int")).over(own)).withColumn("worst", F.min(F.when(F.col("listed"), F.col("sim"))).over(own))
+    return ranked.where("listed or link").select("u", "v", "sim", "link", "listed", "place", "size", "worst")
+
+
+def _length(threshold: float) -> Column:
+    """The next length of a node's list: twice as long if it is saturated."""
+    return F.when(F.col("worst") >= threshold, F.least(F.col("size") * 2, F.lit(LARGEST))).otherwise(F.greatest("size", F.lit(NEIGHBOURS))).cast("int")
 
 
-def lengths(graph: DataFrame, threshold: float) -> DataFrame:
-    """(u, length, worst): twice the length for saturated lists, and each list's last similarity."""
-    state = graph.where("listed").groupBy("u").agg(F.count("*").alias("n"), F.min("sim").alias("worst"))
-    full = F.col("worst") >= threshold
-    return state.select("u", F.when(full, F.least(F.col("n") * 2, F.lit(LARGEST))).otherwise(F.greatest("n", F.lit(NEIGHBOURS))).cast("int").alias("length"), F.when(full | (F.col("n") < NEIGHBOURS), -2.0).otherwise(F.col("worst")).alias("worst"))
+def limits(graph: DataFrame, threshold: float) -> DataFrame:
+    """(u, worst): the similarity that a further neighbour of a node must exceed, -2 if its list is saturated or short."""
+    return graph.where("place = 1").select("u", F.when((F.col("worst") >= threshold) | (F.col("size") < NEIGHBOURS), -2.0).otherwise(F.col("worst")).alias("worst"))
 
 
 def descend(nodes: DataFrame, graph: DataFrame, state: DataFrame, threshold: float) -> DataFrame:
@@ -178,7 +185,7 @@ def descend(nodes: DataFrame, graph: DataFrame, state: DataFrame, threshold: flo
     back = graph.select(F.col("v").alias("via"), F.col("u").alias("id"), "sim")
     ranked = back.withColumn("place", F.row_number().over(Window.partitionBy("via").orderBy(F.desc("sim"), "id"))).where(F.col("place") <= LARGEST)
     around = graph.select(F.col("u").alias("via"), F.col("v").alias("id")).unionByName(ranked.select("via", "id")).distinct()
-    own = graph.select(F.col("u").alias("via"), F.col("u").alias("id")).distinct()
+    own = state.select(F.col("u").alias("via"), F.col("u").alias("id"))
     known = nodes.select("id", "vector").join(state.select(F.col("u").alias("id"), "worst"), "id", "left")
     rows = around.unionByName(own).join(known, "id").select("via", "id", F.coalesce("worst", F.lit(-2.0)).alias("worst"), "vector")
 
@@ -213,9 +220,8 @@ def _linking(graph: DataFrame, threshold: float) -> DataFrame:
 
 
 def meetings(nodes: DataFrame, graph: DataFrame, candidates: DataFrame, threshold: float, attempt: int, scratch: Scratch) -> DataFrame | None:
-    """(a, b): representatives of components with full lists, of which members could link; None if there are no two."""
-    lists = graph.where("listed").groupBy(F.col("u").alias("node")).agg(F.count("*").alias("size"), F.min("sim").alias("worst"))
-    full = lists.where((F.col("size") >= NEIGHBOURS) & (F.col("worst") >= threshold - SLACK)).select("node")
+    """(a, b): representatives of components with full lists, of which members could link; None if there are none."""
+    full = graph.where("place = 1").where((F.col("size") >= NEIGHBOURS) & (F.col("worst") >= threshold - SLACK)).select(F.col("u").alias("node"))
     held = scratch.publish(candidates.join(full, "node").join(nodes.withColumnRenamed("id", "node"), "node").select("component", "node", "vector"), "vector-full")
     chosen = scratch.publish(held.groupBy("component").agg(F.min("node").alias("id")), "vector-chosen")
     count = chosen.count()
@@ -231,13 +237,14 @@ def meetings(nodes: DataFrame, graph: DataFrame, candidates: DataFrame, threshol
 
     angle = lambda sim: F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), sim)))
     radius = scratch.publish(pairs.mapInArrow(apart, "id long, sim double").groupBy("id").agg(angle(F.min("sim") - SLACK).alias("radius")), "vector-radius")
-    edges = scratch.publish(seeds(reps, count, attempt).withColumn("link", F.lit(False)), "vector-rep-edges")
+    edges = scratch.publish(seeds(reps, count, attempt).select("*", F.lit(False).alias("link"), _no_length()), "vector-rep-edges")
     for _ in range(2):
-        around = scratch.publish(best(edges, None), "vector-rep-graph")
-        edges = scratch.publish(edges.unionByName(descend(reps, around, lengths(around, 2.0), 2.0)).dropDuplicates(["u", "v"]), "vector-rep-edges")
+        around = scratch.publish(best(edges), "vector-rep-graph")
+        edges = scratch.publish(edges.unionByName(descend(reps, around, limits(around, 2.0), 2.0).select("*", _no_length())).dropDuplicates(["u", "v"]), "vector-rep-edges")
     of = lambda n: radius.select(F.col("id").alias(n), F.col("radius").alias(f"r{n}"))
     near = edges.join(of("u"), "u").join(of("v"), "v").where(angle(F.col("sim") + SLACK) <= F.lit(math.acos(threshold - SLACK)) + F.col("ru") + F.col("rv"))
-    return near.select(F.col("u").alias("a"), F.col("v").alias("b"))
+    met = scratch.publish(near.select(F.col("u").alias("a"), F.col("v").alias("b")), "vector-met")
+    return None if met.isEmpty() else met
 
 
 def exact_links(nodes: DataFrame, candidates: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
@@ -321,20 +328,21 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     count = nodes.count()
     links, known, candidates = -1, None, None
     for attempt in range(ATTEMPTS):
-        edges = seeds(nodes, count, attempt).withColumn("link", F.col("sim") >= threshold - SLACK)
-        graph = scratch.publish(best(edges if known is None else edges.unionByName(known), None), "vector-graph")
+        edges = seeds(nodes, count, attempt).select("*", (F.col("sim") >= threshold - SLACK).alias("link"), _no_length())
+        graph = scratch.publish(best(edges if known is None else edges.unionByName(known)), "vector-graph")
         for _ in range(ROUNDS):
-            state = scratch.publish(lengths(graph, threshold), "vector-lists")
-            graph = scratch.publish(best(graph.drop("listed").unionByName(descend(nodes, graph, state, threshold)), state.select("u", "length")), "vector-graph")
+            further = descend(nodes, graph, limits(graph, threshold), threshold).select("*", _no_length())
+            graph = scratch.publish(best(graph.select("u", "v", "sim", "link", _length(threshold).alias("length")).unionByName(further)), "vector-graph")
             now = _linking(graph, threshold).count()
             if now == links:
                 break
             links = now
-        known = graph.select("u", "v", "sim", (F.col("link") | (F.col("sim") >= threshold - SLACK)).alias("link"))
+        known = graph.select("u", "v", "sim", (F.col("link") | (F.col("sim") >= threshold - SLACK)).alias("link"), _no_length())
         candidates = scratch.publish(components(_linking(graph, threshold), "vector-components", scratch), "vector-candidates")
         met = meetings(nodes, graph, candidates, threshold, attempt, scratch)
         if met is not None:
-            candidates = scratch.publish(components(_linking(graph, threshold).unionByName(met), "vector-components", scratch), "vector-candidates")
+            joined = candidates.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(met)
+            candidates = scratch.publish(components(joined, "vector-components", scratch), "vector-candidates")
         recall, audited = audit(nodes, candidates, threshold, attempt, count)
         log.info("attempt %d: %d link entries, audited recall %.4f of %d links", attempt, links, recall, audited)
         if recall >= RECALL:
