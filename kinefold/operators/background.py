@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.draws import integer
-from .images import stacks
+from .images import resized, stacks
 from .masks import KEY, feathered
 
 
@@ -71,8 +71,10 @@ def fan_out(frames: DataFrame, pool_size: int, per_frame: int = 2, seed: int = 4
     return frames.select(*KEY, F.posexplode(F.array(*columns)).alias("pick", "bg_index"))
 
 
-def composite(rows: DataFrame, feather: int = 10) -> DataFrame:
-    """Blend pixels over bg_pixels by the feathered mask; a background of another size is resized to the nearest pixel.
+def composite(rows: DataFrame, feather: int = 10, linear: bool = False) -> DataFrame:
+    """Blend pixels over bg_pixels by the feathered mask.
+
+    A background of another size is resized bilinearly if ``linear``, as jobs do it, else to the nearest pixel.
 
     Rows with null pixels, mask or background stay; all columns but those of the background are kept.
     """
@@ -87,7 +89,9 @@ def composite(rows: DataFrame, feather: int = 10) -> DataFrame:
                 h, w, c, bh, bw = map(int, key)
                 take = lambda col, *s: np.frombuffer(b"".join(part[col]), np.uint8).reshape(len(part), *s)  # noqa: B023, E731
                 fg, bg, mask = take("pixels", h, w, c).astype(float), take("bg_pixels", bh, bw, c), take("mask", h, w)
-                if (bh, bw) != (h, w):
+                if linear:
+                    bg = resized(bg, h, w)
+                elif (bh, bw) != (h, w):
                     bg = bg[:, np.arange(h) * bh // h][:, :, np.arange(w) * bw // w]
                 alpha = feathered(mask, feather)[..., None]
                 for i, x in zip(part.index, (alpha * fg + (1 - alpha) * bg).astype(np.uint8), strict=True):

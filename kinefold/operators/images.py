@@ -59,6 +59,24 @@ def from_unit(x: np.ndarray) -> np.ndarray:
     return np.repeat(out, 3, -1) if out.shape[-1] == 1 else out
 
 
+def _between(size: int, wanted: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each wanted pixel the two source pixels between whose centres it lies, and the weight of the second."""
+    at = np.clip((np.arange(wanted) + 0.5) * size / wanted - 0.5, 0, size - 1)
+    low = np.floor(at).astype(int)
+    return low, np.minimum(low + 1, size - 1), at - low
+
+
+def resized(stack: np.ndarray, h: int, w: int) -> np.ndarray:
+    """Bilinear resize of a stack (n, h, w, c) of bytes, one axis after the other; pixel centres are aligned."""
+    if stack.shape[1:3] == (h, w):
+        return stack
+    top, bottom, down = _between(stack.shape[1], h)
+    left, right, along = _between(stack.shape[2], w)
+    x = stack[:, top] * (1 - down)[:, None, None] + stack[:, bottom] * down[:, None, None]
+    x = x[:, :, left] * (1 - along)[:, None] + x[:, :, right] * along[:, None]
+    return np.floor(x + 0.5).astype(np.uint8)
+
+
 def flip(df: DataFrame) -> DataFrame:
     """Mirror columns."""
     return apply(df, lambda x, _: x[:, :, ::-1])

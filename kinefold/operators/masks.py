@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -10,10 +10,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.scratch import published
 from .images import convolved, kernel, stacks
 
 KEY = ("episode_index", "frame_index", "camera")
+SEQUENCE = ("episode_index", "camera", "h", "w")
 LEAST, MOST = 0.01, 0.80
+#: Frames of a block of a sequence, rounded up to the stride.
+BLOCK = 256
+#: So many blocks of a plan are broadcast at most (about 60 bytes each).
+FEW_BLOCKS = 200_000
+
+MaskFn = Callable[[np.ndarray], np.ndarray | Sequence | None]
 
 
 def _ellipse() -> np.ndarray:
@@ -61,41 +69,183 @@ def predict(images: DataFrame, mask_fn: Callable[[np.ndarray], np.ndarray] = bri
     return images.mapInPandas(run, "episode_index long, frame_index long, camera string, h int, w int, mask binary, coverage double")
 
 
-def reused(images: DataFrame, mask_fn: Callable[[np.ndarray], np.ndarray] = brightness_mask, stride: int = 5) -> DataFrame:
-    """Images with mask, coverage and kind by the rule of :func:`sources`, but predicted only where the rule asks.
+def _tried(predictor: MaskFn, stack: np.ndarray) -> list[np.ndarray | str]:
+    """For each image a mask, or why there is none; an image that fails doesn't spoil the others of its stack."""
+    alone = len(stack) == 1
+    try:
+        made = predictor(stack)
+        made = [None] * len(stack) if made is None else list(made)
+        fault = None if len(made) == len(stack) else f"{len(made)} masks for {len(stack)} images"
+    except Exception as e:  # whatever a model raises is this image's reason
+        made, fault = [], f"{type(e).__name__}: {e}"
+    if fault:
+        return [fault] if alone else [x for k in range(len(stack)) for x in _tried(predictor, stack[k : k + 1])]
+    out: list[np.ndarray | str] = []
+    for m in made:
+        shape = None if m is None else np.shape(m)
+        out.append("no mask" if m is None else np.asarray(m).astype(np.uint8) if shape == stack.shape[1:3] else f"mask of shape {shape}")
+    return out
+
+
+def outcomes(chain: Sequence[MaskFn], stack: np.ndarray) -> list[tuple[np.ndarray | None, str | None]]:
+    """The first mask that a chain of predictors has for each image; without one, what each of them said."""
+    found: list[np.ndarray | None] = [None] * len(stack)
+    said: list[list[str]] = [[] for _ in stack]
+    for predictor in chain:
+        left = [k for k, m in enumerate(found) if m is None]
+        for k, m in zip(left, _tried(predictor, stack[left]) if left else [], strict=True):
+            if isinstance(m, str):
+                said[k].append(m)
+            else:
+                found[k] = m
+    return [(m, None if m is not None else "; ".join(s) or "no predictor") for m, s in zip(found, said, strict=True)]
 
-    A sequence (episode, camera and size) streams through one task in frame order, which keeps its last good mask
-    alone.  Where there is none, a bad prediction gives way to the heuristic.  Null pixels have a null mask.
+
+def _walk(chain: Sequence[MaskFn], plain: MaskFn, stride: int, size: int, ahead: int):
+    """A function over images sorted by block and frame: each row's mask by the rule of reuse, as far as its block tells.
+
+    A block starts with its phase, the frames until the next prediction, and with nothing in hand: rows that depend on
+    an earlier block's mask have no mask_src, and ``own`` tells those whose mask is the heuristic's anyway.  ``next`` is
+    the frame from which the following prediction is due.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at = last = kept = None
+        at = kept = None
+        ask = 0
         for pdf in batches:
-            found = []
-            for r in pdf.itertuples(index=False):
-                if (r.episode_index, r.camera, r.h, r.w) != at:
-                    at, last, kept = (r.episode_index, r.camera, r.h, r.w), None, None
-                if r.pixels is None:
-                    found.append((None, None, "fallback"))
-                elif kept and r.frame_index - last < stride:
-                    found.append((*kept, "cached"))
+            pdf = pdf.reset_index(drop=True)
+            keys = list(zip(*(pdf[c] for c in (*SEQUENCE, "block", "phase")), strict=True))
+            frames, pixels = pdf["frame_index"].tolist(), pdf["pixels"].tolist()
+            shapes = list(zip(pdf["h"], pdf["w"], pdf["c"], strict=True))
+            stored = pdf["stored"].tolist() if "stored" in pdf else None
+            known: dict[int, tuple[np.ndarray | None, str | None]] = {}
+            out: list[tuple] = []
+
+            def predicted(k: int) -> tuple[np.ndarray | None, str | None]:
+                h, w, c = shapes[k]
+                if stored is not None:
+                    m = stored[k]
+                    return (np.frombuffer(m, np.uint8).reshape(h, w), None) if m is not None and len(m) == h * w else (None, "no mask stored" if m is None else f"stored mask of {len(m)} bytes")
+                if k not in known:
+                    rows, due = [k], frames[k] + stride
+                    for j in range(k + 1, len(keys)):
+                        if len(rows) >= ahead or keys[j] != keys[k] or shapes[j] != shapes[k]:
+                            break
+                        if pixels[j] is not None and frames[j] >= due and j not in known:
+                            rows.append(j)
+                            due = frames[j] + stride
+                    stack = np.frombuffer(b"".join(pixels[j] for j in rows), np.uint8).reshape(len(rows), h, w, c)
+                    known.update(zip(rows, outcomes(chain, stack), strict=True))
+                return known.pop(k)
+
+            for k, frame in enumerate(frames):
+                if keys[k] != at:
+                    at, kept, ask = keys[k], None, keys[k][4] * size + keys[k][5]
+                if pixels[k] is None:
+                    out.append((None, None, "fallback", None, True, "no pixels", None))
+                    continue
+                if frame < ask:
+                    out.append((*(kept[1:] if kept else (None, None)), "cached", kept and kept[0], False, None, None))
+                    continue
+                mask, reason = predicted(k)
+                cover = None if mask is None else float(mask.mean())
+                if mask is not None and LEAST <= cover <= MOST:
+                    kept, ask = (frame, mask.tobytes(), cover), frame + stride
+                    out.append((kept[1], cover, "predicted", frame, False, None, ask))
+                    continue
+                ask = frame + 1
+                reason = reason or f"coverage {cover:.4f}"
+                if mask is not None and kept:
+                    out.append((kept[1], kept[2], "fallback", kept[0], False, reason, ask))
                 else:
-                    image = np.frombuffer(r.pixels, np.uint8).reshape(1, r.h, r.w, r.c)
-                    mask = mask_fn(image)[0].astype(np.uint8)
-                    if LEAST <= mask.mean() <= MOST:
-                        last, kept = r.frame_index, (mask.tobytes(), float(mask.mean()))
-                        found.append((*kept, "predicted"))
-                    elif kept:
-                        found.append((*kept, "fallback"))
-                    else:
-                        plain = brightness_mask(image)[0]
-                        found.append((plain.tobytes(), float(plain.mean()), "fallback"))
-            mask, coverage, kind = zip(*found, strict=True) if found else ((), (), ())
-            yield pdf.assign(mask=pd.Series(mask, pdf.index, object), coverage=pd.Series(coverage, pdf.index, "Float64"), kind=pd.Series(kind, pdf.index, object))
-
-    schema = T.StructType(list(images.schema.fields)).add("mask", "binary").add("coverage", "double").add("kind", "string")
-    order = ("episode_index", "camera", "h", "w", "frame_index")
-    return images.repartition("episode_index", "camera").sortWithinPartitions(*order).mapInPandas(run, schema)
+                    h, w, c = shapes[k]
+                    simple = np.asarray(plain(np.frombuffer(pixels[k], np.uint8).reshape(1, h, w, c))[0]).astype(np.uint8)
+                    out.append((simple.tobytes(), float(simple.mean()), "fallback", None, mask is None, reason, ask))
+            names = ("mask", "coverage", "kind", "mask_src", "own", "reason", "next")
+            columns = dict(zip(names, zip(*out, strict=True), strict=True)) if out else {n: () for n in names}
+            kinds = {"coverage": "Float64", "mask_src": "Int64", "next": "Int64", "own": bool}
+            yield pdf.drop(columns="stored", errors="ignore").assign(**{n: pd.Series(list(v), pdf.index, kinds.get(n, object)) for n, v in columns.items()})
+
+    return run
+
+
+def _chained(size: int):
+    """A function over the blocks of one sequence, scalars all: which phase each block has and the last good frame before it.
+
+    Where a block wasn't walked in the phase that the blocks before lead to, it and all later blocks are asked for in
+    that phase, which stays the same as long as predictions are good.
+    """
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        table = {(int(b), int(p)): (n, g) for b, p, n, g in zip(pdf["block"], pdf["phase"], pdf["next"], pdf["good"], strict=True)}
+        blocks, ask, last, out = sorted({b for b, _ in table}), 0, None, []
+        for k, block in enumerate(blocks):
+            phase = max(0, ask - block * size)
+            if (block, phase) not in table:
+                out += [(b, phase, None, True) for b in blocks[k:] if (b, phase) not in table]
+                break
+            out.append((block, phase, last, False))
+            after, good = table[block, phase]
+            ask = ask if pd.isna(after) else int(after)
+            last = last if pd.isna(good) else int(good)
+        first = pdf.iloc[0]
+        made = pd.DataFrame(out, columns=["block", "phase", "before", "need"])
+        return made.assign(before=made["before"].astype("Int64"), **{c: first[c] for c in SEQUENCE})
+
+    return run
+
+
+def reused(images: DataFrame, mask_fn: MaskFn | Sequence[MaskFn] = brightness_mask, stride: int = 5, plain: MaskFn = brightness_mask, stored: DataFrame | None = None, ahead: int = 1, block: int = BLOCK) -> DataFrame:
+    """Images with mask, coverage, kind, mask_src and reason by the rule of :func:`sources`, predicted only where it asks.
+
+    ``mask_fn`` is a predictor or a chain of them, of which the first that gives a mask counts; ``stored``, a table of
+    masks by episode, frame and camera, takes their place.  A predictor that raises, has no mask or one of another shape
+    leaves this image to the heuristic ``plain``, as does a bad mask where there is no good one before; reason says why.
+    ``ahead`` asked images go to a predictor as one stack, on the guess that all are good.  Null pixels have a null mask.
+
+    A sequence (episode, camera and size) is cut into blocks of frames, which are walked by different tasks, first on the
+    guess that a prediction is due at each start.  What a block's walk says of the next prediction and the last good
+    mask is combined over the blocks of a sequence, on scalars; blocks that begin otherwise are walked again, in at
+    most ``stride`` rounds.  Rows that need a mask from before their block get it by a join.
+    Walked blocks are written, so this isn't lazy.
+    """
+    chain = [mask_fn] if callable(mask_fn) else list(mask_fn)
+    size = -(-max(block, stride) // stride) * stride
+    kept = images.columns
+    if stored is not None:
+        images = images.join(stored.select(*KEY, F.col("mask").alias("stored")), list(KEY), "left")
+    dealt = images.withColumn("block", F.floor(F.col("frame_index") / size))
+    made = T.StructType([f for f in images.schema.fields if f.name != "stored"])
+    for name, kind in (("block", "long"), ("phase", "long"), ("mask", "binary"), ("coverage", "double"), ("kind", "string"), ("mask_src", "long"), ("own", "boolean"), ("reason", "string"), ("next", "long")):
+        made = made.add(name, kind)
+    keys = [*SEQUENCE, "block"]
+
+    def walked(rows: DataFrame) -> DataFrame:
+        order = rows.select(*[c for c in rows.columns if c not in ("block", "phase")], F.col("block").cast("long").alias("block"), F.col("phase").cast("long").alias("phase"))
+        spread = order.repartition("episode_index", "camera", "block", "phase").sortWithinPartitions(*keys, "phase", "frame_index")
+        return published(spread.mapInPandas(_walk(chain, plain, stride, size, ahead), made), "mask-walk")
+
+    def ends(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys, "phase").agg(F.max("next").alias("next"), F.max(F.when(F.col("kind") == "predicted", F.col("frame_index"))).alias("good"))
+
+    rows = walked(dealt.withColumn("phase", F.lit(0)))
+    told = ends(rows)
+    while True:
+        plan = published(told.groupBy(*SEQUENCE).applyInPandas(_chained(size), "block long, phase long, before long, need boolean, episode_index long, camera string, h int, w int"), "mask-plan")
+        need = plan.where("need").select(*keys, "phase")
+        if not need.limit(1).count():
+            break
+        again = walked(dealt.join(need, keys))
+        rows, told = rows.unionByName(again), told.unionByName(ends(again))
+    # scalars of blocks, broadcast where they are few
+    chosen = plan.select(*keys, "phase", "before")
+    rows = rows.join(F.broadcast(chosen) if plan.count() <= FEW_BLOCKS else chosen, [*keys, "phase"])
+    waits = F.col("mask_src").isNull() & ~F.col("own") & F.col("before").isNotNull()
+    good = rows.where("kind = 'predicted'").select(*SEQUENCE, F.col("frame_index").alias("before"), F.col("mask").alias("_mask"), F.col("coverage").alias("_coverage"))
+    late = rows.where(waits).drop("mask", "coverage", "mask_src").join(good, [*SEQUENCE, "before"])
+    names = [*kept, "mask", "coverage", "kind", "mask_src", "reason"]
+    late = late.withColumnsRenamed({"_mask": "mask", "_coverage": "coverage"}).withColumn("mask_src", F.col("before"))
+    return rows.where(~waits).select(*names).unionByName(late.select(*names))
 
 
 def bad(coverage: Column) -> Column:
@@ -126,11 +276,6 @@ def sources(coverages: DataFrame, stride: int = 5) -> DataFrame:
     return coverages.select(*KEY, "coverage").groupBy("episode_index", "camera").applyInPandas(run, schema)
 
 
-def sources_all_good(coverages: DataFrame, stride: int = 5) -> DataFrame:
-    """The closed form of :func:`sources` where every prediction is good."""
-    return coverages.select(*KEY, (F.col("frame_index") - F.col("frame_index") % stride).alias("mask_src"))
-
-
 def statistics(masks: DataFrame) -> DataFrame:
     """Frames, predictions, cache hits, fallbacks and mean coverage per episode; needs kind and coverage."""
     count = lambda k: F.sum((F.col("kind") == k).cast("long"))
@@ -145,14 +290,17 @@ def top_regions(regions: DataFrame, k: int = 4, min_iou: float = 0.75) -> DataFr
 
 
 def union(regions: DataFrame) -> DataFrame:
-    """Pixelwise OR of an image's regions (few per image); images without any have no row."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        whole = np.bitwise_or.reduce([np.frombuffer(m, np.uint8) for m in pdf["pixels"]])
-        first = pdf.iloc[0]
-        return pd.DataFrame({c: [first[c]] for c in KEY} | {"mask": [whole.tobytes()], "coverage": [float(whole.mean())]})
+    """Pixelwise OR of an image's regions; images without any have no row.
 
-    return regions.groupBy(*KEY).applyInPandas(run, "episode_index long, frame_index long, camera string, mask binary, coverage double")
+    Masks (bytes 0 and 1) become words of 64 pixels, whose OR is aggregated before and after the shuffle, so regions of one
+    image need not meet in a task.  Masks of one image have one size; a shorter one counts as zero beyond its end.
+    """
+    bits = regions.where("pixels is not null").select(*KEY, F.octet_length("pixels").alias("n"), F.regexp_replace(F.hex("pixels"), "0([01])", "$1").alias("bits"))
+    words = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("n") / 64) - 1, F.lit(0)).cast("int")), lambda k: F.conv(F.rpad(F.substring("bits", k * 64 + 1, F.lit(64)), 64, "0"), 2, -10).cast("long"))
+    merged = bits.select(*KEY, "n", F.posexplode(words).alias("at", "word")).groupBy(*KEY, "at").agg(F.bit_or("word").alias("word"), F.max("n").alias("n"))
+    whole = merged.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("words"), F.sum(F.bit_count("word")).alias("ones"), F.max("n").alias("n"))
+    text = F.concat_ws("", F.transform("words", lambda x: F.lpad(F.bin(x["word"]), 64, "0")))
+    return whole.select(*KEY, F.unhex(F.regexp_replace(F.substring(text, F.lit(1), F.col("n")), "([01])", "0$1")).alias("mask"), (F.col("ones") / F.greatest("n", F.lit(1))).alias("coverage"))
 
 
 def feathered(masks: np.ndarray, radius: int = 10) -> np.ndarray:

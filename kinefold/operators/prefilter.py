@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.draws import rounded
-from .metrics import motion, smoothness
+from .metrics import measured
 from .selection import sampled
 
 
@@ -54,20 +54,14 @@ def scores(episodes: DataFrame, frames: DataFrame, gate: Gate) -> DataFrame:
     """One row per episode of ``episodes``: metrics rounded to six decimals, kept, reason, all reasons, mode.
 
     Episodes without frames appear with their reason.  A vector of another length than the episode's (or
-    ``gate.dims``) rejects its episode and leaves the others alone.
+    ``gate.dims``) rejects its episode and leaves the others alone.  Frames are exchanged once, by episode.
     """
     if gate.mode == "fast":
         frames = sampled(frames, gate.sample_every_n)
-    size = F.lit(gate.dims) if gate.dims else F.max(F.size("action"))
-    shape = frames.groupBy("episode_index").agg(
-        F.count("action").alias("actions"), F.count("state").alias("states"), F.min(F.size("action")).alias("least"), F.max(F.size("action")).alias("most"), size.alias("dims") if not gate.dims else F.first(F.lit(gate.dims)).alias("dims")
-    )
-    clean = frames.where("action is not null")
-    found = motion(clean, gate.saturation_limit if gate.mode == "full" else None)
-    out = episodes.select("episode_index").join(shape, "episode_index", "left").join(found, "episode_index", "left")
-    if gate.mode == "full":
-        out = out.join(smoothness(frames, gate.fps), "episode_index", "left")
-    else:
+    full = gate.mode == "full"
+    found = measured(frames, gate.saturation_limit if full else None, gate.fps if full else None)
+    out = episodes.select("episode_index").join(found, "episode_index", "left").withColumn("dims", F.lit(gate.dims) if gate.dims else F.col("most"))
+    if not full:
         out = out.withColumn("sparc", F.lit(None).cast("double")).withColumn("saturation", F.lit(None).cast("double"))
     none = F.coalesce("actions", F.lit(0))
     missing = F.when(none < 2, "insufficient sampled action data") if gate.mode == "fast" else F.when((none == 0) | (F.coalesce("states", F.lit(0)) == 0), "missing action/state")

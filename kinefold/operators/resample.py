@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from itertools import zip_longest
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import lerp
 from .planning import positions, source_frame
 
 
@@ -18,44 +22,103 @@ def nearest(pos: Column) -> Column:
     return _clamped(F.bround(pos))
 
 
-def _lookup(rows: DataFrame, frames: DataFrame, place: Column, values: dict[str, str]) -> DataFrame:
-    """Join frames at a place of the selected sequence, by episode and frame, which no hot key can block."""
-    frame = source_frame(place, F.col("stride"), F.col("start_offset"), F.col("remove"))
-    right = frames.select(F.col("episode_index").alias("_e"), F.col("frame_index").alias("_f"), *[F.col(a).alias(b) for a, b in values.items()])
-    keyed = rows.withColumn("_at", frame)
-    return keyed.join(right, (keyed["episode_index"] == right["_e"]) & (keyed["_at"] == right["_f"]), "left").drop("_e", "_f", "_at")
-
-
 def future_actions(frames: DataFrame, shift: int) -> DataFrame:
     """Without resampling: each frame with the action ``shift`` frames later; the last ``shift`` vanish."""
     moved = frames.select("episode_index", (F.col("frame_index") - shift).alias("frame_index"), F.col("action").alias("label"))
     return frames.join(moved, ["episode_index", "frame_index"])
 
 
-def resample(frames: DataFrame, plan: DataFrame, jitter: bool) -> DataFrame:
+#: Source frames of an episode that are looked up together.
+BLOCK = 1024
+
+
+def _taken(column: pa.ChunkedArray, at: np.ndarray) -> pa.Array:
+    """Elements at places, null at -1."""
+    return column.combine_chunks().take(pa.array(np.maximum(at, 0), mask=at < 0))
+
+
+def _interpolated(low: pa.Array, high: pa.Array, alpha: np.ndarray) -> pa.Array:
+    """low * (1 - alpha) + high * alpha by row; where alpha vanishes or high is null, low."""
+    mixed = np.flatnonzero((alpha > 1e-8) & low.is_valid().to_numpy(False) & high.is_valid().to_numpy(False))
+    if not len(mixed):
+        return low
+    a, b = low.take(pa.array(mixed)), high.take(pa.array(mixed))
+    sizes = np.maximum(pc.list_value_length(a).to_numpy(), pc.list_value_length(b).to_numpy())
+    if a.flatten().null_count == b.flatten().null_count == 0 and (sizes == len(a.flatten()) / len(a)).all() and (sizes == len(b.flatten()) / len(b)).all():
+        x, y, t = a.flatten().to_numpy(), b.flatten().to_numpy(), np.repeat(alpha[mixed], sizes)
+        made = pa.ListArray.from_arrays(np.append(0, np.cumsum(sizes)).astype(np.int32), pa.array(x * (1.0 - t) + y * t))
+    else:  # vectors of several lengths: a missing or null element makes a null
+        rows = []
+        for x, y, t in zip(a.to_pylist(), b.to_pylist(), alpha[mixed].tolist(), strict=True):
+            rows.append([None if v is None or w is None else v * (1.0 - t) + w * t for v, w in zip_longest(x, y)])
+        made = pa.array(rows, low.type)
+    place = np.arange(len(low))
+    place[mixed] = len(low) + np.arange(len(mixed))
+    return pa.concat_arrays([low, made.cast(low.type)]).take(pa.array(place))
+
+
+def _merged(jitter: bool, task: bool):
+    """A function over a block's output positions and the frames that they can need."""
+
+    def run(rows: pa.Table, frames: pa.Table) -> pa.Table:
+        held = frames.column("at").to_numpy()
+        order = np.argsort(held, kind="stable")
+        frames, held = frames.take(pa.array(order)), held[order]
+
+        def places(name: str) -> np.ndarray:
+            wanted = rows.column(name).to_numpy()
+            at = np.minimum(np.searchsorted(held, wanted), max(0, len(held) - 1))
+            return np.where(held[at] == wanted, at, -1) if len(held) else np.full(len(wanted), -1)
+
+        near = places("near")
+        action, state = _taken(frames.column("action"), near), _taken(frames.column("state"), near)
+        label = _taken(frames.column("action"), places("label_low"))
+        if jitter:
+            label = _interpolated(label, _taken(frames.column("action"), places("label_high")), rows.column("label_part").to_numpy())
+            own = _interpolated(_taken(frames.column("state"), places("state_low")), _taken(frames.column("state"), places("state_high")), rows.column("state_part").to_numpy())
+            state = pc.if_else(pc.and_(rows.column("jittered").combine_chunks(), own.is_valid()), own, state)
+        action = pc.if_else(pc.greater(rows.column("effective_shift").combine_chunks(), 0), label, action)
+        out = {c: rows.column(c) for c in _CARRIED} | {"src_frame": rows.column("near")}
+        if task:
+            out["task"] = _taken(frames.column("task"), near)
+        return pa.table(out | {"action": action, "state": state})
+
+    return run
+
+
+_CARRIED = ("segment", "list_pos", "episode_index", "output_order", "base_index", "usable_len", "out_idx")
+
+
+def resample(frames: DataFrame, plan: DataFrame, jitter: bool, block: int = BLOCK) -> DataFrame:
     """Output frames of a plan: segment, list_pos, episode_index, out_idx, src_frame, task, action, state.
 
     The state is interpolated where time was resampled, else the nearest frame's.  The action is the label:
     interpolated at the shifted position if there is a shift, else the nearest frame's.  All else is nearest.
+
+    Output positions go to the block of their nearest frame, on scalars, and frames to their own block and those before and after
+    whose positions can reach them; a block is merged in one pass.  So frames and positions are exchanged once each, and an
+    episode of any length is many groups.  Of frames that repeat an index one counts.
     """
     rows = positions(plan)
-    near = nearest(F.col("pos"))
-    task = {"task": "task"} if "task" in frames.columns else {}
-    rows = _lookup(rows, frames, near, {"action": "near_action", "state": "near_state"} | task)
-    rows = rows.withColumn("src_frame", source_frame(near, F.col("stride"), F.col("start_offset"), F.col("remove")))
-    low, high = F.floor("label_pos"), F.ceil("label_pos")
-    rows = _lookup(rows, frames, _clamped(low), {"action": "label_low"})
-    if not jitter:
-        rows = rows.withColumn("label", F.col("label_low")).withColumn("state", F.col("near_state"))
-    else:
-        rows = _lookup(rows, frames, _clamped(high), {"action": "label_high"})
-        rows = _lookup(rows, frames, _clamped(F.floor("pos")), {"state": "state_low"})
-        rows = _lookup(rows, frames, _clamped(F.ceil("pos")), {"state": "state_high"})
-        between = lambda lo, hi, p: F.when(F.col(lo).isNotNull(), lerp(F.col(lo), F.col(hi), F.col(p) - F.floor(p)))
-        rows = rows.withColumn("label", between("label_low", "label_high", "label_pos"))
-        rows = rows.withColumn("state", F.when(F.col("jittered"), F.coalesce(between("state_low", "state_high", "pos"), "near_state")).otherwise(F.col("near_state")))
-    action = F.when(F.col("effective_shift") > 0, F.col("label")).otherwise(F.col("near_action"))
-    return rows.select("segment", "list_pos", "episode_index", "output_order", "base_index", "usable_len", "out_idx", "src_frame", *task, action.alias("action"), "state")
+    place = lambda p: source_frame(_clamped(p), F.col("stride"), F.col("start_offset"), F.col("remove"))
+    found = {"near": F.bround("pos"), "label_low": F.floor("label_pos"), "label_high": F.ceil("label_pos"), "state_low": F.floor("pos"), "state_high": F.ceil("pos")}
+    parts = {"label_part": F.col("label_pos") - F.floor("label_pos"), "state_part": F.col("pos") - F.floor("pos")}
+    rows = rows.select(*_CARRIED, "effective_shift", "jittered", *(place(p).alias(n) for n, p in found.items()), *(p.alias(n) for n, p in parts.items()))
+    rows = rows.withColumn("block", F.floor(F.col("near") / block))
+    # how far the farthest position of the plan reaches, in source frames: one row
+    gap = F.greatest(F.col("stride"), F.lit(2))
+    step = F.when(F.col("jittered") & (F.col("target_len") > 1), (F.col("n_selected") - 1) / (F.col("target_len") - 1)).otherwise(1.0)
+    reach = plan.agg(F.max((F.ceil(F.col("effective_shift") * step) + 3) * gap).alias("ahead"), F.max(3 * gap).alias("back")).where("ahead is not null")
+    at = F.col("frame_index").cast("long")
+    blocks = F.sequence(F.greatest(F.floor((at - F.col("ahead")) / block), F.lit(0)), F.floor((at + F.col("back")) / block))
+    task = ["task"] if "task" in frames.columns else []
+    # the episode is named anew, as plans may come from the same frames
+    dealt = frames.crossJoin(F.broadcast(reach)).where("frame_index >= 0").select(F.col("episode_index").alias("episode_index"), at.alias("at"), F.explode(blocks).alias("block"), *task, F.col("action").cast("array<double>").alias("action"), F.col("state").cast("array<double>").alias("state"))
+    kinds = dict(rows.dtypes)
+    schema = ", ".join([*(f"{c} {kinds[c]}" for c in _CARRIED), "src_frame long", *(f"{c} {dict(frames.dtypes)[c]}" for c in task), "action array<double>", "state array<double>"])
+    by = ("episode_index", "block")
+    made = rows.groupBy(*by).cogroup(dealt.groupBy(*by)).applyInArrow(_merged(jitter, bool(task)), schema)
+    return made.select(*_CARRIED, "src_frame", *task, "action", "state")
 
 
 def renumbered(rows: DataFrame, fps: float = 50.0) -> DataFrame:

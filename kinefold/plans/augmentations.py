@@ -7,16 +7,14 @@ other pixels.  As all draws have output keys, a repeated episode and a source fr
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 from typing import TYPE_CHECKING
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import background, images as im, masks as mk
-from ..sources.scratch import published
 
 if TYPE_CHECKING:
     from .recipes import Recipe
@@ -30,7 +28,9 @@ class Context:
     """What an augmentation may look at.
 
     ``shown`` has the scalars of the images (segment, episode_index, frame_index, src_episode, src_frame, camera,
-    h, w), ``images`` the source images, ``plan`` the output episodes.
+    h, w), ``images`` the source images, ``plan`` the output episodes.  ``mask_fn`` is a predictor of masks or a chain of
+    them; ``masks``, if given, are masks of source images that take its place.  What an augmentation has to report
+    beside pixels goes to ``reports``.
     """
 
     recipe: Recipe
@@ -38,7 +38,10 @@ class Context:
     shown: DataFrame
     images: DataFrame
     boxes: DataFrame | None = None
-    mask_fn: Callable[[np.ndarray], np.ndarray] = mk.brightness_mask
+    mask_fn: mk.MaskFn | Sequence[mk.MaskFn] = mk.brightness_mask
+    masks: DataFrame | None = None
+    plain: mk.MaskFn = mk.brightness_mask
+    reports: dict[str, DataFrame] = field(default_factory=dict)
 
 
 Augmentation = Callable[[DataFrame, Context], DataFrame]
@@ -94,14 +97,17 @@ def composed(images: DataFrame, context: Context) -> DataFrame:
     """Boxes drawn, or the foreground before an earlier image of the output episode; adds ``mask``.
 
     The pool of backgrounds holds the images as they come in here, and at first source frames of the pass's previous
-    episode.  Masks and images are written once, as both foregrounds and backgrounds read them.
+    episode.  Masks and images are written once, as both foregrounds and backgrounds read them; so their statistics by
+    output episode, reported as ``masks``, need no second pass over pixels.
     """
     r = context.recipe
     if r.box_overlay:
         if context.boxes is None:
             raise ValueError("box_overlay needs boxes")
         return im.boxed(images, _shown_boxes(context)).withColumn("mask", F.lit(None).cast("binary"))
-    found = published(mk.reused(images, context.mask_fn, r.mask_stride).drop("coverage", "kind"), "image-masks")
+    walked = mk.reused(images, context.mask_fn, r.mask_stride, context.plain, None if context.masks is None else _shown_masks(context))
+    context.reports["masks"] = mk.statistics(walked)
+    found = walked.drop("coverage", "kind", "mask_src", "reason")
     order = context.plan.select("segment", "list_pos", "output_order")
     before = background.previous_episodes(context.plan).join(order, ["segment", "list_pos"]).select("segment", F.col("output_order").alias("episode_index"), "prev_episode")
     lengths = context.plan.select("episode_index", "length").distinct()
@@ -109,7 +115,17 @@ def composed(images: DataFrame, context: Context) -> DataFrame:
     columns = (F.col("episode_index").alias("bg_episode"), F.col("frame_index").alias("bg_frame"), "camera", F.col("h").alias("bg_h"), F.col("w").alias("bg_w"), F.col("pixels").alias("bg_pixels"))
     behind = found.select(F.lit(True).alias("bg_own"), *columns).unionByName(context.images.select(F.lit(False).alias("bg_own"), *columns))
     rows = found.join(chosen, list(mk.KEY)).join(behind, ["bg_own", "bg_episode", "bg_frame", "camera"], "left")
-    return background.composite(rows.drop("bg_own", "bg_episode", "bg_frame"), r.feather)
+    return background.composite(rows.drop("bg_own", "bg_episode", "bg_frame"), r.feather, linear=True)
+
+
+def _shown_masks(context: Context) -> DataFrame:
+    """The masks of source images for each image shown; mirrored with it."""
+    source = context.masks.select(F.col("episode_index").alias("src_episode"), F.col("frame_index").alias("src_frame"), "camera", F.col("mask").alias("pixels"))
+    rows = context.shown.select(*mk.KEY, "src_episode", "src_frame", "h", "w").join(source, ["src_episode", "src_frame", "camera"])
+    if "horizontal_flip" in context.recipe.augmentations:
+        fits = F.octet_length("pixels") == F.col("h") * F.col("w")
+        rows = im.flip(rows.withColumn("c", F.lit(1)).where(fits))
+    return rows.select(*mk.KEY, F.col("pixels").alias("mask"))
 
 
 def _shown_boxes(context: Context) -> DataFrame:

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import mirrored, noisy
 from ..operators import images as im, masks as mk
 from ..operators.metrics import autocorrelation, chunk_length, motion
-from ..operators.planning import ORIGINALS, build_plan, plan_totals
+from ..operators.planning import ORIGINALS, build_plan
 from ..operators.prefilter import kept_episodes, scores
 from ..operators.resample import renumbered, resample
 from ..operators.smoothing import smooth
@@ -41,11 +40,6 @@ def plan_job(frames: DataFrame, recipe: Recipe, episodes: DataFrame | None = Non
     return build_plan(chosen, recipe.temporal())
 
 
-def totals_job(frames: DataFrame, recipe: Recipe) -> DataFrame:
-    chosen = of_frames(frames)
-    return plan_totals(chosen, build_plan(chosen, recipe.temporal()), recipe.temporal())
-
-
 def augment_job(frames: DataFrame, recipe: Recipe, episodes: DataFrame | None = None, dims: int = 14) -> Augmented:
     """Vectors: tail drop, stride, resampling, label, smoothing, noise, mirror, in this order.
 
@@ -66,17 +60,28 @@ def augment_job(frames: DataFrame, recipe: Recipe, episodes: DataFrame | None =
     return Augmented(plan, renumbered(rows))
 
 
-def augment_images_job(images: DataFrame, augmented: Augmented, recipe: Recipe, boxes: DataFrame | None = None, mask_fn: Callable[[np.ndarray], np.ndarray] = mk.brightness_mask) -> DataFrame:
+@dataclass(frozen=True)
+class AugmentedImages:
+    """Images of a plan, with masks where backgrounds are composed, and then the masks' statistics by output episode."""
+
+    images: DataFrame
+    mask_statistics: DataFrame | None
+
+
+def images_job(
+    images: DataFrame, augmented: Augmented, recipe: Recipe, boxes: DataFrame | None = None, mask_fn: mk.MaskFn | Sequence[mk.MaskFn] = mk.brightness_mask, masks: DataFrame | None = None, plain: mk.MaskFn = mk.brightness_mask
+) -> AugmentedImages:
     """The image branch of a plan: flip comes first, then the augmentations as listed; originals stay as they are.
 
     With ``background``, a column mask has 0 and 1 by pixel, zeros where none was predicted; the job then writes masks
-    on the way, so it is not lazy.  :func:`masks.mask_rgb` makes images of masks.
+    on the way, so it is not lazy.  Masks come from ``mask_fn``, a predictor or a chain of them, or from ``masks``, a
+    table of masks of source images; where there is none, ``plain`` makes one.  :func:`masks.mask_rgb` makes images of masks.
     """
     keys = augmented.frames.select("segment", F.col("source_episode").alias("src_episode"), F.col("src_frame"), "episode_index", "frame_index")
     source = images.select(F.col("episode_index").alias("src_episode"), F.col("frame_index").alias("src_frame"), "camera", "h", "w", "c", "pixels")
     both = ["src_episode", "src_frame"]
     passes = keys.where(F.col("segment") != ORIGINALS)
-    context = Context(recipe, augmented.plan, passes.join(source.drop("c", "pixels"), both), images, boxes, mask_fn)
+    context = Context(recipe, augmented.plan, passes.join(source.drop("c", "pixels"), both), images, boxes, mask_fn, masks, plain)
     changed = passes.join(source, both).drop(*both)
     if "horizontal_flip" in recipe.augmentations:
         changed = im.flip(changed)
@@ -88,7 +93,12 @@ def augment_images_job(images: DataFrame, augmented: Augmented, recipe: Recipe,
     columns = ["segment", "episode_index", "frame_index", "camera", "h", "w", "c", "pixels"]
     if "background" in recipe.augmentations:
         columns.append(F.coalesce("mask", F.unhex(F.expr("repeat('00', h * w)"))).alias("mask"))
-    return out.select(*columns)
+    return AugmentedImages(out.select(*columns), context.reports.get("masks"))
+
+
+def augment_images_job(images: DataFrame, augmented: Augmented, recipe: Recipe, boxes: DataFrame | None = None, mask_fn: mk.MaskFn | Sequence[mk.MaskFn] = mk.brightness_mask) -> DataFrame:
+    """The images alone of :func:`images_job`."""
+    return images_job(images, augmented, recipe, boxes, mask_fn).images
 
 
 def profile_job(frames: DataFrame, fps: float = 50.0) -> dict[str, DataFrame]:

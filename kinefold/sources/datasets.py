@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,16 +43,29 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(IMAGES).parquet(path)
 
 
-def read_loose_images(spark: SparkSession, path: str, h: int, w: int, c: int = 3) -> DataFrame:
-    """Raw files named <episode>_<frame>_<camera>.raw as images; files of another size are dropped with no error."""
-    name = F.regexp_extract("path", r"(\d+)_(\d+)_([^/]+)\.raw$", 1)
-    files = spark.read.format("binaryFile").load(path).where(F.col("length") == h * w * c)
-    part = lambda k: F.regexp_extract("path", r"(\d+)_(\d+)_([^/]+)\.raw$", k)
-    return files.where(name != "").select(
-        part(1).cast("long").alias("episode_index"), part(2).cast("long").alias("frame_index"), part(3).alias("camera"), F.lit(h).alias("h"), F.lit(w).alias("w"), F.lit(c).alias("c"), F.col("content").alias("pixels")
+def loose_images(spark: SparkSession, path: str, h: int, w: int, c: int = 3) -> DataFrame:
+    """Raw files named <episode>_<frame>_<camera>.raw as images, all files among them.
+
+    A file of another size has null pixels, one of another name null keys too; reason says so, and is null for the rest.
+    """
+    part = lambda k: F.nullif(F.regexp_extract("path", r"(\d+)_(\d+)_([^/]+)\.raw$", k), F.lit(""))
+    files = spark.read.format("binaryFile").load(path)
+    fits = F.col("length") == h * w * c
+    reason = F.when(part(1).isNull(), F.concat(F.lit("not <episode>_<frame>_<camera>.raw: "), F.col("path"))).when(~fits, F.format_string(f"%d bytes, not {h} x {w} x {c}", "length"))
+    return files.select(
+        *(part(k).cast("long").alias(name) for k, name in ((1, "episode_index"), (2, "frame_index"))),
+        part(3).alias("camera"),
+        *(F.lit(v).alias(name) for name, v in (("h", h), ("w", w), ("c", c))),
+        F.when(fits & part(1).isNotNull(), F.col("content")).alias("pixels"),
+        reason.alias("reason"),
     )
 
 
+def read_loose_images(spark: SparkSession, path: str, h: int, w: int, c: int = 3) -> DataFrame:
+    """The sound images of :func:`loose_images`, which tells of the other files."""
+    return loose_images(spark, path, h, w, c).where("reason is null").drop("reason")
+
+
 def episodes(frames: DataFrame) -> DataFrame:
     """One row per episode with its length; partial counts travel, never the frames."""
     return frames.groupBy("episode_index").agg(F.count("*").alias("length"))
@@ -63,18 +76,24 @@ def episode_ranges(frames: DataFrame) -> DataFrame:
     return frames.groupBy("episode_index").agg(F.min("index").alias("dataset_from_index"), (F.max("index") + 1).alias("dataset_to_index"), F.count("*").alias("length"))
 
 
-def output_schema(source: T.StructType, mask_cameras: Iterable[str] = (), size: tuple[int, int] = (480, 640)) -> T.StructType:
-    """Declared output features: the source's without index columns, and a mask for each camera.
+def output_schema(source: T.StructType, mask_cameras: Iterable[str] | Mapping[str, tuple[int, int]] = (), size: tuple[int, int] = (480, 640)) -> T.StructType:
+    """Declared output features: the source's without index columns, and a mask of height x width x 3 for each camera.
 
-    Keys are a union in order, without repeats.
+    Cameras may come with their own sizes.  Keys are a union in order, without repeats.
     """
     fields = {f.name: f for f in source.fields if f.name not in INDEX_COLUMNS}
-    for camera in mask_cameras:
-        name = f"mask_{camera}"
-        fields.setdefault(name, T.StructField(name, T.BinaryType(), True, {"dtype": "video", "shape": [*size, 3], "names": ["height", "width", "channels"]}))
+    sizes = mask_cameras if isinstance(mask_cameras, Mapping) else {camera: size for camera in mask_cameras}
+    for camera, shape in sizes.items():
+        name = mask_feature(camera)
+        fields.setdefault(name, T.StructField(name, T.BinaryType(), True, {"dtype": "video", "shape": [*shape, 3], "names": ["height", "width", "channel"]}))
     return T.StructType([*fields.values()])
 
 
+def mask_feature(camera: str) -> str:
+    """The mask's name for a camera, of which the last part counts."""
+    return f"mask_{camera.rsplit('.', 1)[-1]}"
+
+
 def output_frames(frames: DataFrame) -> DataFrame:
     """The columns that an output frame has: no index columns, a default task, scalars as arrays of one."""
     kept = [f for f in frames.schema.fields if f.name not in INDEX_COLUMNS and f.name != "task"]
