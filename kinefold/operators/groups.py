@@ -28,3 +28,32 @@ def in_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterato
             held.append(batch.slice(a, b - a))
     if held:
         yield at, pa.Table.from_batches(held)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str], least: int = 1 << 16) -> Iterator[tuple[np.ndarray, pa.Table]]:
+    """Tables of ``least`` rows or more, cut between groups of sorted rows, each with its rows' group numbers."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+
+    def numbers(table: pa.Table) -> np.ndarray:
+        change = np.zeros(table.num_rows, bool)
+        for k in keys:
+            c = table.column(k).to_numpy()
+            change[1:] |= c[1:] != c[:-1]
+        return np.cumsum(change)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= least:
+            table = pa.Table.from_batches(held)
+            group = numbers(table)
+            cut = int(np.searchsorted(group, group[-1]))
+            if cut:
+                yield group[:cut], table.slice(0, cut)
+                held, rows = table.slice(cut).to_batches(), table.num_rows - cut
+    if held:
+        table = pa.Table.from_batches(held)
+        yield numbers(table), table

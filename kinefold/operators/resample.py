@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import zip_longest
 
 import numpy as np
@@ -10,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .groups import whole_groups
 from .planning import positions, source_frame
 
 
@@ -58,24 +60,32 @@ def _interpolated(low: pa.Array, high: pa.Array, alpha: np.ndarray) -> pa.Array:
 
 
 def _merged(jitter: bool, task: bool):
-    """A function over a block's output positions and the frames that they can need."""
-
-    def run(rows: pa.Table, frames: pa.Table) -> pa.Table:
-        held = frames.column("at").to_numpy()
+    """A function over blocks of output positions (kind 1) and the frames that they can need (kind 0)."""
+
+    def merge(group: np.ndarray, both: pa.Table) -> pa.Table:
+        kind = both.column("kind").to_numpy()
+        mine, theirs = np.flatnonzero(kind == 1), np.flatnonzero(kind == 0)
+        rows, frames = both.take(pa.array(mine)), both.take(pa.array(theirs))
+        at = frames.column("at").to_numpy(zero_copy_only=False).astype(np.int64)
+        span = int(max(at.max(initial=0), rows.column("label_high").to_numpy(zero_copy_only=False).max(initial=0), rows.column("state_high").to_numpy(zero_copy_only=False).max(initial=0))) + 1
+        held = group[theirs] * span + at
         order = np.argsort(held, kind="stable")
         frames, held = frames.take(pa.array(order)), held[order]
 
+        def number(name: str, kind: type = np.int64) -> np.ndarray:
+            return rows.column(name).to_numpy(zero_copy_only=False).astype(kind)
+
         def places(name: str) -> np.ndarray:
-            wanted = rows.column(name).to_numpy()
-            at = np.minimum(np.searchsorted(held, wanted), max(0, len(held) - 1))
-            return np.where(held[at] == wanted, at, -1) if len(held) else np.full(len(wanted), -1)
+            wanted = group[mine] * span + number(name)
+            found = np.minimum(np.searchsorted(held, wanted), max(0, len(held) - 1))
+            return np.where(held[found] == wanted, found, -1) if len(held) else np.full(len(wanted), -1)
 
         near = places("near")
         action, state = _taken(frames.column("action"), near), _taken(frames.column("state"), near)
         label = _taken(frames.column("action"), places("label_low"))
         if jitter:
-            label = _interpolated(label, _taken(frames.column("action"), places("label_high")), rows.column("label_part").to_numpy())
-            own = _interpolated(_taken(frames.column("state"), places("state_low")), _taken(frames.column("state"), places("state_high")), rows.column("state_part").to_numpy())
+            label = _interpolated(label, _taken(frames.column("action"), places("label_high")), number("label_part", float))
+            own = _interpolated(_taken(frames.column("state"), places("state_low")), _taken(frames.column("state"), places("state_high")), number("state_part", float))
             state = pc.if_else(pc.and_(rows.column("jittered").combine_chunks(), own.is_valid()), own, state)
         action = pc.if_else(pc.greater(rows.column("effective_shift").combine_chunks(), 0), label, action)
         out = {c: rows.column(c) for c in _CARRIED} | {"src_frame": rows.column("near")}
@@ -83,6 +93,10 @@ def _merged(jitter: bool, task: bool):
             out["task"] = _taken(frames.column("task"), near)
         return pa.table(out | {"action": action, "state": state})
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, both in whole_groups(batches, ("episode_index", "block")):
+            yield from merge(group, both).to_batches()
+
     return run
 
 
@@ -116,9 +130,8 @@ def resample(frames: DataFrame, plan: DataFrame, jitter: bool, block: int = BLOC
     dealt = frames.crossJoin(F.broadcast(reach)).where("frame_index >= 0").select(F.col("episode_index").alias("episode_index"), at.alias("at"), F.explode(blocks).alias("block"), *task, F.col("action").cast("array<double>").alias("action"), F.col("state").cast("array<double>").alias("state"))
     kinds = dict(rows.dtypes)
     schema = ", ".join([*(f"{c} {kinds[c]}" for c in _CARRIED), "src_frame long", *(f"{c} {dict(frames.dtypes)[c]}" for c in task), "action array<double>", "state array<double>"])
-    by = ("episode_index", "block")
-    made = rows.groupBy(*by).cogroup(dealt.groupBy(*by)).applyInArrow(_merged(jitter, bool(task)), schema)
-    return made.select(*_CARRIED, "src_frame", *task, "action", "state")
+    both = rows.withColumn("kind", F.lit(1)).unionByName(dealt.withColumn("kind", F.lit(0)), allowMissingColumns=True)
+    return both.repartition("episode_index", "block").sortWithinPartitions("episode_index", "block").mapInArrow(_merged(jitter, bool(task)), schema)
 
 
 def renumbered(rows: DataFrame, fps: float = 50.0) -> DataFrame:
