@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from ..functions.draws import between_sql, integer_sql, rounded, rounded_sql, uniform_sql
 from ..operators import background, images as im, masks as mk, planning, selection
-from ..plans import jobs
+from ..plans import export, jobs
 from ..plans.recipes import resolve
 from ..sources import datasets
 from ..sources.fixtures import IMAGE_SIZE, IMAGES, VECTOR_FRAMES, images, vector_frames
 from ..sources.scratch import scratch_path
+from . import sql
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 THRESHOLD = 140
@@ -296,3 +297,52 @@ def k3_composite_images_job(spark, sf_dir):
     frames = vector_frames(spark, sf_dir)
     made = jobs.augment_job(frames, recipe)
     return checksums(jobs.augment_images_job(images(spark, sf_dir), made, recipe), 3, "segment")
+
+
+_USED = f"""{mask_sql(THRESHOLD, 'soft')}, plain AS (SELECT episode_index, frame_index, avg(m::DOUBLE) AS coverage FROM soft GROUP BY 1, 2),
+used AS (SELECT w.episode_index, w.frame_index, w.kind, CASE WHEN w.last IS NULL THEN p.coverage ELSE c.coverage END AS coverage
+         FROM walk w JOIN plain p USING (episode_index, frame_index) LEFT JOIN covers c ON c.episode_index = w.episode_index AND c.frame_index = w.last)"""
+
+
+@query(
+    _REUSE
+    + f", {_USED} SELECT episode_index, count(*) AS frames, sum((kind = 'predicted')::INT)::BIGINT AS calls, sum((kind = 'cached')::INT)::BIGINT AS cache_hits, sum((kind = 'fallback')::INT)::BIGINT AS fallbacks, {rounded_sql('avg(coverage)')} AS avg_coverage FROM used GROUP BY 1"
+)
+def d15_used_mask_statistics(spark, sf_dir):
+    """Of the masks that frames get, as jobs report them; short blocks show that sequences are walked in parts."""
+    found = mk.reused(images(spark, sf_dir), mean_mask(HARD), 5, mean_mask(THRESHOLD), block=20)
+    return mk.statistics(found).withColumn("avg_coverage", rounded(F.col("avg_coverage")))
+
+
+@query(_REUSE + " SELECT episode_index, frame_index, last AS mask_src, kind FROM walk")
+def e6_mask_reuse_in_blocks(spark, sf_dir):
+    return mk.reused(images(spark, sf_dir), mean_mask(HARD), 5, mean_mask(THRESHOLD), block=10).select("episode_index", "frame_index", "mask_src", "kind")
+
+
+_BOXED = resolve("v7", prefilter=False, num_passes=2, smoothing=False, action_noise_std=0.0, augmentations=("background", "horizontal_flip"), box_overlay=True)
+_IN_BOX = "segment >= 0 AND x BETWEEN src_frame % 3 AND src_frame % 3 + 4 AND y BETWEEN src_frame % 2 AND src_frame % 2 + 5"
+_OUTPUT = f"WITH {IMAGES}, frames AS (SELECT episode_index, frame_index, NULL::VARCHAR AS task, action, state FROM vectors), {sql.EPISODES}, {sql.plan(_BOXED.temporal())}, {sql.POSITIONS}, {sql.RESAMPLED}"
+
+
+@query(
+    _OUTPUT
+    + f", drawn AS (SELECT segment, output_order, out_idx, y, CASE WHEN segment >= 0 THEN 7 - x ELSE x END AS x, ch, CASE WHEN {_IN_BOX} THEN CASE WHEN ch = 1 THEN 255 ELSE 0 END ELSE level END AS level"
+    + f" FROM made JOIN pixels p ON p.episode_index = made.episode_index AND p.frame_index = made.src_frame) SELECT segment::BIGINT AS segment, output_order::BIGINT AS episode_index, out_idx::BIGINT AS frame_index, {SUMS} FROM drawn GROUP BY 1, 2, 3"
+)
+def k3_flip_and_boxes_images_job(spark, sf_dir):
+    """The image job in listed order: flip first, then boxes of source frames, mirrored with them; originals stay."""
+    shots = images(spark, sf_dir)
+    i = F.col("frame_index")
+    boxes = shots.select("episode_index", "frame_index", "camera", (i % 3).cast("double").alias("x0"), (i % 2).cast("double").alias("y0"), (i % 3 + 4).cast("double").alias("x1"), (i % 2 + 5).cast("double").alias("y1"))
+    made = jobs.augment_job(vector_frames(spark, sf_dir), _BOXED)
+    return checksums(jobs.augment_images_job(shots, made, _BOXED, boxes), 3, "segment").withColumn("segment", F.col("segment").cast("long"))
+
+
+@query()
+def a6_declared_features(spark, sf_dir):
+    """Frames of a composed dataset under their declared features: bytes of the mask feature, and covered pixels."""
+    recipe = resolve("v9", prefilter=False, num_passes=1, feather=1)
+    made = jobs.augment_job(vector_frames(spark, sf_dir), recipe)
+    rows = export.with_features(made.frames, jobs.images_job(images(spark, sf_dir), made, recipe).images)
+    covered = (F.length(F.regexp_replace(F.hex("mask_top"), "00", "")) / 6).cast("long")
+    return rows.select("episode_index", "frame_index", F.octet_length("mask_top").cast("long").alias("mask_bytes"), covered.alias("covered"))

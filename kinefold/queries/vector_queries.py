@@ -331,6 +331,14 @@ def d14_joint_coverage(spark, sf_dir):
     return _ints(statistics.joint_coverage(event_frames(spark, sf_dir), _made(spark, sf_dir)).select("dim", *[_r(c).alias(c) for c in ("before", "after", "ratio")]))
 
 
+@query()
+def d14_smoothness_change(spark, sf_dir):
+    """Smoothness of the output of the production recipe, smoothing and noise on, against its source."""
+    frames = event_frames(spark, sf_dir)
+    made = jobs.augment_job(frames, resolve("v7", prefilter=False, num_passes=1)).frames
+    return statistics.smoothness_change(metrics.smoothness(frames), metrics.smoothness(made)).select(*[_r(c).alias(c) for c in ("before", "after", "change")])
+
+
 @query(sql.with_(FR, EP, sql.plan(HARSH)) + "SELECT segment::BIGINT AS segment, (SELECT count(*) FROM episodes) AS planned, coalesce(w, 0) AS written, coalesce(f, 0)::BIGINT AS frames FROM passes LEFT JOIN (SELECT segment, count(*) AS w, sum(usable_len) AS f FROM plan GROUP BY 1) USING (segment)")
 def d17_plan_totals(spark, sf_dir):
     every = datasets.episodes(event_frames(spark, sf_dir))
