@@ -52,11 +52,15 @@ def _ints(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("long").alias(c) if t in ("int", "smallint", "tinyint") else F.col(c) for c, t in df.dtypes])
 
 
-def _sampled_vector(name: str, at: tuple[int, ...] = (1, 7, 14)) -> list:
+#: Elements of a vector, from 1.
+ALL = tuple(range(1, 15))
+
+
+def _elements(name: str, at: tuple[int, ...] = ALL) -> list:
     return [_r(F.element_at(name, k)).alias(f"{name}_{k}") for k in at]
 
 
-def _sampled_sql(name: str, at: tuple[int, ...] = (1, 7, 14), alias: str = "") -> str:
+def _elements_sql(name: str, at: tuple[int, ...] = ALL, alias: str = "") -> str:
     return ", ".join(f"{r(f'{name}[{k}]')} AS {alias or name}_{k}" for k in at)
 
 
@@ -77,12 +81,12 @@ def a1_load_dataset(spark, sf_dir):
     return datasets.episode_ranges(datasets.read_frames(spark, path, ["episode_index", "index"]))
 
 
-@query(sql.with_(FR) + f"SELECT episode_index, frame_index, task, {r('action[1]')} AS action_1, {r('state[14]')} AS state_14 FROM frames")
+@query(sql.with_(FR) + f"SELECT episode_index, frame_index, task, {_elements_sql('action')}, {_elements_sql('state')} FROM frames")
 def a3_write_dataset(spark, sf_dir):
     path = scratch_path(spark, "frames")
     datasets.write_frames(event_frames(spark, sf_dir), path)
     datasets.write_frames(event_frames(spark, sf_dir), path, force=True)  # a4: the overwrite switch
-    return spark.read.parquet(path).select("episode_index", "frame_index", "task", _r(F.col("action")[0]).alias("action_1"), _r(F.col("state")[13]).alias("state_14"))
+    return spark.read.parquet(path).select("episode_index", "frame_index", "task", *_elements("action"), *_elements("state"))
 
 
 @query(sql.with_(sql.fast_scores(FAST)) + "SELECT episode_index, kept, reason FROM scores")
@@ -109,10 +113,10 @@ def b2_episode_slice(spark, sf_dir):
     return cut.groupBy("episode_index").agg(F.count("*").alias("frames"), F.min("index").alias("first_index"), F.max("index").alias("last_index"))
 
 
-@query(sql.with_(FR) + f"SELECT coalesce(CASE WHEN task = 'click' THEN NULL ELSE task END, 'robot manipulation') AS task, {_sampled_sql('action')}, {_sampled_sql('state')} FROM frames")
+@query(sql.with_(FR) + f"SELECT coalesce(CASE WHEN task = 'click' THEN NULL ELSE task END, 'robot manipulation') AS task, {_elements_sql('action')}, {_elements_sql('state')} FROM frames")
 def b3_output_frames(spark, sf_dir):
     frames = event_frames(spark, sf_dir).withColumn("task", F.when(F.col("task") != "click", F.col("task")))
-    return datasets.output_frames(frames).select("task", *_sampled_vector("action"), *_sampled_vector("state"))
+    return datasets.output_frames(frames).select("task", *_elements("action"), *_elements("state"))
 
 
 @query(sql.with_(FR) + "SELECT episode_index, frame_index FROM frames WHERE (frame_index - 1) % 3 = 0")
@@ -189,9 +193,9 @@ def b14_drop_empty(spark, sf_dir):
 # ------------------------------------------------------------ joins
 
 
-@query(sql.with_(FR) + f"SELECT f.episode_index, f.frame_index, {_sampled_sql('g.action', alias='label')} FROM frames f JOIN frames g ON g.episode_index = f.episode_index AND g.frame_index = f.frame_index + 4")
+@query(sql.with_(FR) + f"SELECT f.episode_index, f.frame_index, {_elements_sql('g.action', alias='label')} FROM frames f JOIN frames g ON g.episode_index = f.episode_index AND g.frame_index = f.frame_index + 4")
 def c1_future_action(spark, sf_dir):
-    return resample.future_actions(event_frames(spark, sf_dir), 4).select("episode_index", "frame_index", *_sampled_vector("label"))
+    return resample.future_actions(event_frames(spark, sf_dir), 4).select("episode_index", "frame_index", *_elements("label"))
 
 
 def _made(spark, sf_dir, t=JITTER):
@@ -199,9 +203,9 @@ def _made(spark, sf_dir, t=JITTER):
     return resample.resample(frames, planning.build_plan(datasets.episodes(frames), t), t.jitter > 0)
 
 
-@query(_MADE + f"SELECT segment::BIGINT AS segment, episode_index, out_idx, {_sampled_sql('action')}, {_sampled_sql('state')} FROM made")
+@query(_MADE + f"SELECT segment::BIGINT AS segment, episode_index, out_idx, {_elements_sql('action')}, {_elements_sql('state')} FROM made")
 def c2_asof_interpolation(spark, sf_dir):
-    return _ints(_made(spark, sf_dir).select("segment", "episode_index", "out_idx", *_sampled_vector("action"), *_sampled_vector("state")))
+    return _ints(_made(spark, sf_dir).select("segment", "episode_index", "out_idx", *_elements("action"), *_elements("state")))
 
 
 @query(_MADE + "SELECT segment::BIGINT AS segment, episode_index, out_idx, src_frame::BIGINT AS src_frame, task FROM made")
@@ -364,10 +368,10 @@ def _weights(row: int) -> str:
     return "[" + ", ".join(f"{float(w)!r}::DOUBLE" for w in smoothing.hat(7, 2)[row]) + "]"
 
 
-_SMOOTH = f"""seq AS (SELECT f.episode_index, f.frame_index AS k, d, action[d+1] AS a, length AS n FROM frames f JOIN episodes USING (episode_index), (SELECT unnest([0, 3, 6, 10]) AS d) ds),
+_SMOOTH = f"""seq AS (SELECT f.episode_index, f.frame_index AS k, d, action[d+1] AS a, length AS n FROM frames f JOIN episodes USING (episode_index), (SELECT unnest(range(14)) AS d) ds),
 rowed AS (SELECT *, CASE WHEN k < 3 THEN 0 WHEN k > n - 4 THEN n - 7 ELSE k - 3 END AS start, CASE WHEN k < 3 THEN k WHEN k > n - 4 THEN 7 - (n - k) ELSE 3 END AS hat_row FROM seq),
 hats AS (SELECT * FROM (VALUES {", ".join(f"({i}, {_weights(i)})" for i in range(7))}) h(hat_row, w)),
-smoothed AS (SELECT q.episode_index, q.k, q.d, CASE WHEN q.d = 6 THEN max(q.a) ELSE sum(w[p.k - q.start + 1]*p.a) END AS a
+smoothed AS (SELECT q.episode_index, q.k, q.d, CASE WHEN q.d IN (6, 13) THEN max(q.a) ELSE sum(w[p.k - q.start + 1]*p.a) END AS a
   FROM rowed q JOIN hats USING (hat_row) JOIN seq p ON p.episode_index = q.episode_index AND p.d = q.d AND p.k BETWEEN q.start AND q.start + 6 GROUP BY 1, 2, 3)"""
 
 
@@ -376,7 +380,7 @@ def e3_savitzky_golay(spark, sf_dir):
     frames = event_frames(spark, sf_dir)
     rows = frames.select("episode_index", "frame_index", "action").join(datasets.episodes(frames), "episode_index")
     rows = smoothing.smooth(rows, 7, 2, (6, 13), keys=("episode_index",), place="frame_index", length="length")
-    rows = rows.select("episode_index", "frame_index", F.posexplode("action").alias("dim", "a")).where(F.col("dim").isin(0, 3, 6, 10))
+    rows = rows.select("episode_index", "frame_index", F.posexplode("action").alias("dim", "a"))
     return rows.select("episode_index", "frame_index", F.col("dim").cast("long").alias("dim"), _r("a").alias("action"))
 
 
@@ -455,17 +459,17 @@ _SIGNS = "[" + ", ".join(f"{s}::DOUBLE" for s in TWO_ARMS.action_signs) + "]"
 _FLIP = f"flipped AS (SELECT episode_index, frame_index, list_transform(range(1, 15), lambda i: action[CASE WHEN i > 7 THEN i - 7 ELSE i + 7 END]*{_SIGNS}[CASE WHEN i > 7 THEN i - 7 ELSE i + 7 END]) AS action FROM frames)"
 
 
-@query(sql.with_(FR, _FLIP) + f"SELECT episode_index, frame_index, {_sampled_sql('action', (1, 2, 7, 9, 14))} FROM flipped")
+@query(sql.with_(FR, _FLIP) + f"SELECT episode_index, frame_index, {_elements_sql('action')} FROM flipped")
 def h2_mirror(spark, sf_dir):
     frames = event_frames(spark, sf_dir).withColumn("action", mirrored(F.col("action"), TWO_ARMS.action_signs, TWO_ARMS.arm))
-    return frames.select("episode_index", "frame_index", *_sampled_vector("action", (1, 2, 7, 9, 14)))
+    return frames.select("episode_index", "frame_index", *_elements("action"))
 
 
-@query(sql.with_(FR) + f"SELECT episode_index, frame_index, {r('-action[1]')} AS action_1, {r('action[2]')} AS action_2, {r('-state[14]')} AS state_14 FROM frames")
+@query(sql.with_(FR) + f"SELECT episode_index, frame_index, {', '.join(r(f'{sign}{n}[{k}]') + f' AS {n}_{k}' for n, changed in (('action', 1), ('state', 14)) for k in ALL for sign in ('-' if k == changed else '',))} FROM frames")
 def h3_custom_mirror(spark, sf_dir):
     spec = mirror_spec(None, [-1.0] + [1.0] * 13, [1.0] * 13 + [-1.0])
     a, s = mirrored(F.col("action"), spec.action_signs, spec.arm), mirrored(F.col("state"), spec.state_signs, spec.arm)
-    return event_frames(spark, sf_dir).select("episode_index", "frame_index", _r(a[0]).alias("action_1"), _r(a[1]).alias("action_2"), _r(s[13]).alias("state_14"))
+    return event_frames(spark, sf_dir).withColumns({"action": a, "state": s}).select("episode_index", "frame_index", *_elements("action"), *_elements("state"))
 
 
 _NOISE = normal_sql("'42'", "episode_index", "frame_index", "'noise'", "d")
@@ -478,12 +482,12 @@ def h4_action_noise(spark, sf_dir):
     return rows.select("episode_index", "frame_index", F.col("dim").cast("long").alias("dim"), rounded(F.col("a"), 5).alias("action"))
 
 
-@query(sql.with_(FR) + f"SELECT f.episode_index, f.frame_index, {r('f.action[3]*(1.0::DOUBLE - 0.25::DOUBLE) + g.action[3]*0.25::DOUBLE')} AS mixed FROM frames f JOIN frames g ON g.episode_index = f.episode_index AND g.frame_index = f.frame_index + 1")
+@query(sql.with_(FR) + f"SELECT f.episode_index, f.frame_index, {', '.join(r(f'f.action[{k}]*(1.0::DOUBLE - 0.25::DOUBLE) + g.action[{k}]*0.25::DOUBLE') + f' AS mixed_{k}' for k in ALL)} FROM frames f JOIN frames g ON g.episode_index = f.episode_index AND g.frame_index = f.frame_index + 1")
 def h5_lerp(spark, sf_dir):
     from ..functions.vectors import lerp
 
-    rows = resample.future_actions(event_frames(spark, sf_dir), 1)
-    return rows.select("episode_index", "frame_index", _r(lerp(F.col("action"), F.col("label"), F.lit(0.25))[2]).alias("mixed"))
+    rows = resample.future_actions(event_frames(spark, sf_dir), 1).withColumn("mixed", lerp(F.col("action"), F.col("label"), F.lit(0.25)))
+    return rows.select("episode_index", "frame_index", *_elements("mixed"))
 
 
 # ------------------------------------------------------------ jobs
@@ -503,16 +507,16 @@ def _pair(name: str, k: int) -> str:
     return f"{r(f'CASE WHEN segment = -1 THEN {name}[{k}] ELSE {name}[{j}]*{TWO_ARMS.action_signs[j - 1]}::DOUBLE END')} AS {name}_{k}"
 
 
-@query(_JOB + f"SELECT output_order AS episode_index, out_idx AS frame_index, base_index + out_idx AS index, segment::BIGINT AS segment, {', '.join(_pair(n, k) for n in ('action', 'state') for k in (1, 7, 9))} FROM made")
+@query(_JOB + f"SELECT output_order AS episode_index, out_idx AS frame_index, base_index + out_idx AS index, segment::BIGINT AS segment, {', '.join(_pair(n, k) for n in ('action', 'state') for k in ALL)} FROM made")
 def k2_augment_job(spark, sf_dir):
     frames = jobs.augment_job(event_frames(spark, sf_dir), RECIPE).frames
-    return _ints(frames.select("episode_index", "frame_index", "index", "segment", *_sampled_vector("action", (1, 7, 9)), *_sampled_vector("state", (1, 7, 9))))
+    return _ints(frames.select("episode_index", "frame_index", "index", "segment", *_elements("action"), *_elements("state")))
 
 
-@query(sql.with_(SUPPLIER_FRAMES) + f"SELECT d::BIGINT AS dim, {r('avg(action[d+1])')} AS mean, {r('min(action[d+1])')} AS min, {r('max(action[d+1])')} AS max, count(*) AS n FROM suppliers, (SELECT unnest(range(4)) AS d) ds GROUP BY 1")
+@query(sql.with_(SUPPLIER_FRAMES) + f"SELECT feature, d::BIGINT AS dim, {r('avg(v[d+1])')} AS mean, {r('min(v[d+1])')} AS min, {r('max(v[d+1])')} AS max, count(*) AS n FROM (SELECT 'action' AS feature, action AS v FROM suppliers UNION ALL SELECT 'state', state FROM suppliers), (SELECT unnest(range(4)) AS d) ds GROUP BY 1, 2")
 def k4_profile_job(spark, sf_dir):
-    stats = jobs.profile_job(supplier_frames(spark, sf_dir))["statistics"].where("feature = 'action'")
-    return _ints(stats.select("dim", _r("mean").alias("mean"), _r("min").alias("min"), _r("max").alias("max"), "n"))
+    stats = jobs.profile_job(supplier_frames(spark, sf_dir))["statistics"]
+    return _ints(stats.select("feature", "dim", _r("mean").alias("mean"), _r("min").alias("min"), _r("max").alias("max"), "n"))
 
 
 def _report(name: str, table: str) -> str:
