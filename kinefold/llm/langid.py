@@ -5,7 +5,7 @@ with every run of other characters as one space.  Subwords are hashed into
 buckets with an embedding each; a text is the average of its subwords'
 embeddings, a linear layer and a softmax give the languages' probabilities.
 Embeddings and layer are trained by stochastic gradient descent in numpy on the
-driver, on a bounded sample of labelled rows.  At prediction time embeddings and
+driver, on a bounded sample of labelled rows, a row being at most 2**BITS numbers.  At prediction time embeddings and
 layer fold into one table of scores per bucket, so a task adds up table rows.
 
 Calibration uses a fifth of the sample that training doesn't see: a temperature
@@ -36,9 +36,10 @@ from .common import free_names, table, text_slices
 
 BITS = 15
 ORDERS = (2, 3, 4)
-#: At most about this many labelled rows are drawn, shared evenly by the languages, and so many buckets of a row.
+#: At most about this many labelled rows are drawn, shared evenly by the languages, each with its whole text.
 SAMPLE_ROWS = 2400
-SAMPLE_BUCKETS = 4096
+#: So many languages are learnt, the most frequent ones.
+LANGUAGES = 400
 UNKNOWN = "und"
 SLICE = 1 << 20
 
@@ -114,17 +115,19 @@ def softmax(x: np.ndarray) -> np.ndarray:
 def draw(docs: DataFrame, sample_rows: int, seed: int) -> list[tuple[str, int, np.ndarray, np.ndarray]]:
     """A bounded sample of labelled rows: language, order, buckets and their weights.
 
-    Each language gets an equal share, drawn by a hash of doc_id, so no sort or group is needed.
+    Each language gets an equal share, drawn by a hash of doc_id and text, so no sort or group of all rows is needed.
+    Rows that repeat both count once, so no doc_id and no text can fill the sample.
     """
     labelled = docs.where("lang is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    frequent = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    counts = {r["lang"]: r["n"] for r in frequent.collect()}
     if not counts:
         return []
     share = max(1, sample_rows // len(counts))
     parts = 1 << 30
     limit = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, int(min(1.0, share / n) * parts))])
-    place = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(parts))
-    chosen = labelled.where(place < limit[F.col("lang")]).select("lang", place.alias("place"), "text")
+    place = F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(parts))
+    chosen = labelled.where(place < F.try_element_at(limit, F.col("lang"))).select("lang", place.alias("place"), "text").dropDuplicates()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,9 +137,8 @@ def draw(docs: DataFrame, sample_rows: int, seed: int) -> list[tuple[str, int, n
                 for a, n in zip(begin.tolist(), many.tolist(), strict=True):
                     found, times = np.unique(grid[a : a + n], return_counts=True)
                     times, found = times[found >= 0], found[found >= 0]
-                    top = np.argsort(-times, kind="stable")[:SAMPLE_BUCKETS]
-                    ids.append(found[top].astype(np.uint16).tobytes())
-                    weights.append((times[top] / max(1, times.sum())).astype(np.float32).tobytes())
+                    ids.append(found.astype(np.uint16).tobytes())
+                    weights.append((times / max(1, times.sum())).astype(np.float32).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("lang"), part.column("place"), pa.array(ids, pa.binary()), pa.array(weights, pa.binary()), pa.array(has_letter)],
                     ["lang", "place", "ids", "weights", "has_letter"],

@@ -354,6 +354,18 @@ def test_language_id(spark):
     assert langid.predict(docs.limit(0), model).count() == 0
 
 
+def test_language_sample_is_bounded_and_whole(spark, monkeypatch):
+    rnd = random.Random(9)
+    rows = [(7, "same text of a hot document", "aa")] * 900 + [(7, f"text number {i} of it", "aa") for i in range(300)]
+    rows += [(i, words(rnd, 4000), "bb") for i in range(40)] + [(i, "rare", f"z{i}") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    monkeypatch.setattr(langid, "LANGUAGES", 2)
+    drawn = langid.draw(docs, 200, 7)
+    assert {r[0] for r in drawn} == {"aa", "bb"} and len(drawn) < 200
+    long = [r for r in drawn if r[0] == "bb"]
+    assert len(long) == 40 and all(abs(r[3].sum() - 1) < 1e-4 for r in drawn) and max(len(r[2]) for r in long) > 4096
+
+
 def test_language_columns_that_clash(spark):
     docs = spark.createDataFrame([(1, "some text", 0.5, "x")], "doc_id long, text string, SCORE double, lang_pred string")
     for model in (None, langid.Model(["en"], np.zeros(((1 << langid.BITS) + 1, 1), np.float32), np.zeros(1))):
