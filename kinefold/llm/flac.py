@@ -32,7 +32,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_slices
+from .common import publish, table, text_slices
 
 BLOCK_SIZE = 1024
 SAMPLE_RATE = 8000
@@ -545,4 +545,5 @@ def digests(media: DataFrame) -> DataFrame:
 
 
 def op10_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(to_media(table(spark, sf_dir, "documents")))
+    # stored in the shared folder, then read back: a lost executor costs no encoding, and the media stay as a table
+    return digests(publish(to_media(table(spark, sf_dir, "documents")), "media"))
