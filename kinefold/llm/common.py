@@ -44,14 +44,14 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def publish(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+def publish(df: DataFrame, label: str, path: str | None = None, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again.
 
     This cuts the lineage: a lost executor costs no recomputation of what came before.
     """
     spark = df.sparkSession
     path = path or new_path(spark, label)
-    df.write.mode("overwrite").parquet(path)
+    (df.write.option("compression", compression) if compression else df.write).mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

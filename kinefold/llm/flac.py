@@ -546,4 +546,4 @@ def digests(media: DataFrame) -> DataFrame:
 
 def op10_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     # stored in the shared folder, then read back: a lost executor costs no encoding, and the media stay as a table
-    return digests(publish(to_media(table(spark, sf_dir, "documents")), "media"))
+    return digests(publish(to_media(table(spark, sf_dir, "documents")), "media", compression="zstd"))
