@@ -9,10 +9,11 @@ follows its end after a line feed; anchors are the starts of words and, in long
 words or scripts without spaces, every ``STRIDE``-th character of a run.  The
 similarity is the Jaccard index of the two sets of distinct shingles.
 
-1. Equal lines are grouped by a 64-bit key.  Each distinct line's shingles are dealt
-   by their hash to ``PARTS`` parts, each with ``MINIMA`` minima.  Bands of minima of a part
-   are the line's buckets; the minima's low bits are its sketch.  Only buckets and
-   sketches are stored, no minima and no texts.
+1. Equal lines are grouped by a 64-bit key; a second key shows where different lines
+   share one, and those get keys of another hash, so 128 bits decide.  Each distinct line's
+   shingles are dealt by their hash to ``PARTS`` parts, each with 16 minima or more.  Bands of
+   minima of a part are the line's buckets; bits of the minima are its sketch.  Only buckets
+   and sketches are stored, no minima and no texts.
 2. Lines that share a bucket with others meet its smallest key.  Pairs whose
    sketches are too far apart are dropped; of the others each line first has
    one pair verified on the whole shingle sets, and after a union-find those
@@ -20,14 +21,16 @@ similarity is the Jaccard index of the two sets of distinct shingles.
 3. In buckets that then hold several components lines meet across these.  Each such
    line whose sketch is near another's has a bitmap of its shingles' hashes, and the join itself leaves out pairs
    whose bitmaps bound the similarity below the threshold, which loses none; the
-   others are verified.  Buckets with many open lines are replaced by deeper ones of
-   the same miss probability first.
+   others are verified.  Buckets with many open lines are replaced first by deeper ones of
+   minima of their own, and these by still deeper ones while that parts the lines.
 4. A distributed union-find gives components; of each, the occurrence with the
    smallest (doc_id, line number) stays and all others are removed.
 
 Bands get longer as the corpus grows, so that unlike lines seldom share one, and
 more numerous, so that a pair of similarity 0.8 is missed by all with a probability
-of at most ``MISS``, a more similar one more rarely (at 0.85 3e-3, at 0.9 1e-4).  Lines of up to ``TINY``
+of at most ``MISS``, a more similar one more rarely.  The bands of a part overlap; their number
+(:func:`shape`) follows from the chances of each number of equal minima, so overlap is
+paid for with further bands.  From ``DEEP`` rows on every band has minima of its own.  Lines of up to ``TINY``
 characters also have buckets of two whole parts each, those under ``SHORT`` no others.
 
 Blank lines are neither compared nor removed.  A document keeps its row even if
@@ -42,6 +45,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,16 +55,23 @@ from .components import components
 
 CHARACTERS = 5
 SHINGLE, STRIDE = 12, 8
-PARTS, MINIMA = 4, 16
+#: Parts of a line's shingles, and those that the lowest bits tell apart for tiny lines.
+PARTS, COARSE = 8, 4
+#: Minima of a part by the largest number of rows that they serve; bands of DEEP rows or more share none.
+MINIMA = {8: 16, 12: 32}
+DEEP = 13
+#: Minima of a part whose bits make the sketch.
+SKETCHED = 16
 #: Rows of a band at least, and by how many characters of text per further row.
 LEAST_ROWS, GROWTH, CHARACTERS_A_LINE = 7, 16, 64
-#: Probability that all bands miss a pair of similarity 0.8, and the similarity that deeper buckets tell from it.
-MISS, TEMPLATE = 0.03, 0.6
+#: Probability that all bands miss a pair of similarity 0.8, the same for bands of DEEP rows or more, and the similarity that deeper buckets tell from it.
+MISS, DEEP_MISS, TEMPLATE = 0.03, 0.01, 0.6
 TINY, SHORT = 15, 12
-#: Bits in which the sketches of similar lines differ at most: 6.4 are expected at 0.8, 30 of unlike lines.
-FAR_BITS, UNSKETCHED = 22, 24
-#: Open lines of a bucket from which on it is replaced by deeper ones.
-HOT = 400
+#: Bits of 128 in which the sketches of similar lines differ at most: 12.8 are expected at 0.8 and 29 were the most of
+#: one in a thousand such pairs of 25 characters; some 60 of unlike lines.
+FAR_BITS, UNSKETCHED = 36, 24
+#: Open lines of a bucket from which on it is replaced by deeper ones, as long as those leave at most so large a share.
+HOT, PARTED = 400, 0.8
 #: Rows of two or three numbers sent to all tasks at once at most, some 50 MB; beyond it a shuffled join does the same.
 BROADCAST_ROWS = 1_000_000
 #: Words of 64 bits of a bitmap.
@@ -70,9 +81,10 @@ ANCHORED = rf"(?s)(?=(.{{{SHINGLE}}}))[^ \t\r\f\x0B\n]{{1,{STRIDE}}}"
 FIRST = -(1 << 63)
 
 
-def _salt(k: int) -> int:
+def _salt(k: int, minima: int) -> int:
     """Salts differ in their highest bits, so each leads to another region of the hashes first."""
-    return ((k % MINIMA) << 60 | random.Random(f"line {k}").getrandbits(60)) - (1 << 63)
+    low = 64 - (minima - 1).bit_length()
+    return ((k % minima) << low | random.Random(f"line {k}").getrandbits(low)) - (1 << 63)
 
 
 def _normal(lowered: Column) -> Column:
@@ -109,44 +121,95 @@ def _key(line: Column) -> Column:
     return F.xxhash64(line, F.length(line)).alias("key")
 
 
+def _check(line: Column) -> Column:
+    """A second key, of another seed; also the key of lines that share the first with others."""
+    return F.xxhash64(F.lit("second"), line)
+
+
+def keyed(docs: DataFrame, clashes: DataFrame | None = None) -> DataFrame:
+    """The occurrences of lines with their keys; ``clashes`` (key, of few rows) has those of several lines."""
+    rows = occurrences(docs).withColumn("key", _key(F.col("line")))
+    if clashes is None:
+        return rows
+    told = rows.join(_small(clashes.withColumn("clash", F.lit(True)), clashes.count()), "key", "left")
+    return told.withColumn("key", F.when(F.col("clash"), _check(F.col("line"))).otherwise(F.col("key"))).drop("clash")
+
+
+def minima_of(rows: int) -> int:
+    return min(m for most, m in MINIMA.items() if rows <= most)
+
+
+def missed(rows: int, minima: int, bands: int, similarity: float = 0.8) -> float:
+    """The probability that so many bands, each of some of the minima, miss a pair: over all numbers of equal minima."""
+    chance = lambda m: math.comb(minima, m) * similarity**m * (1 - similarity) ** (minima - m)
+    return sum(chance(m) * (1 - math.comb(m, rows) / math.comb(minima, rows)) ** bands for m in range(minima + 1))
+
+
+@lru_cache(maxsize=64)
 def shape(rows: int) -> int:
-    """The number of bands of so many rows."""
-    bands = math.log(MISS) / math.log(1 - 0.8**rows)
-    return math.ceil(bands / PARTS) * PARTS
+    """The number of bands of so many rows: of each part, or of the line from DEEP rows on."""
+    if rows >= DEEP:
+        return math.ceil(math.log(DEEP_MISS) / math.log1p(-(0.8**rows)))
+    bands = 1
+    while missed(rows, minima_of(rows), bands) ** PARTS > MISS:
+        bands += 1
+    return bands
 
 
 def depth(docs: DataFrame) -> int:
     """Rows of a band for a corpus of this size."""
-    size = docs.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     return max(LEAST_ROWS, math.ceil(math.log(max(1, size / CHARACTERS_A_LINE), GROWTH)))
 
 
-def signed(lines: DataFrame, rows: int, tiny: bool = True) -> DataFrame:
-    """(key, n, len, sketch, buckets) of all distinct lines of (key, line, n), which are dealt by key."""
-    coded = lines.select("key", "n", F.length("line").alias("len"), F.encode("line", "UTF-16BE").alias("units"))
+def _hashed(lines: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The columns of ``lines`` but line, with len and h, the hash of each run of characters; and all but h."""
+    own = [c for c in lines.columns if c != "line"]
+    coded = lines.select(*own, F.length("line").alias("len"), F.encode("line", "UTF-16BE").alias("units"))
+    own = [*own, "len"]
     starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor(F.length("units") / 2).cast("int") - CHARACTERS))
-    units = coded.select("key", "n", "len", "units", F.explode(starts).alias("i"))
-    hashed = units.select("key", "n", "len", F.xxhash64(F.substring("units", F.col("i") * 2 + 1, F.lit(2 * CHARACTERS))).alias("h"))
-    dealt = hashed.select("key", "n", "len", F.col("h").bitwiseAND(PARTS - 1).cast("int").alias("part"), "h")
+    units = coded.select(*own, "units", F.explode(starts).alias("i"))
+    return units.select(*own, F.xxhash64(F.substring("units", F.col("i") * 2 + 1, F.lit(2 * CHARACTERS))).alias("h")), own
+
+
+def signed(lines: DataFrame, rows: int, tiny: bool = True) -> DataFrame:
+    """The columns of ``lines`` (key, line and others) but line, with len, sketch and buckets; lines are distinct and dealt by key."""
+    hashed, own = _hashed(lines)
+    minima = minima_of(min(rows, DEEP - 1))
+    dealt = hashed.select(*own, F.col("h").bitwiseAND(PARTS - 1).cast("int").alias("part"), "h")
     # a line's shingles are in one partition already, so neither step shuffles
-    minima = dealt.groupBy("key", "n", "len", "part").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(_salt(k)))).alias(f"m{k}") for k in range(MINIMA)])
-    bands = shape(rows) // PARTS
-    m = [F.col(f"m{k}") for k in range(MINIMA)]
-    band = lambda b: F.xxhash64(F.lit(b), "part", *[m[(b * MINIMA // bands + r * (1 + b // MINIMA)) % MINIMA] for r in range(min(rows, MINIMA))])
-    bits = sum((F.shiftleft(F.shiftright(m[k], 8).bitwiseAND(1), k) for k in range(1, MINIMA)), F.shiftright(m[0], 8).bitwiseAND(1))
-    told = minima.select("key", "n", "len", "part", F.expr("part * 16").alias("by"), bits.alias("bits"), F.xxhash64(*m).alias("whole"), *[band(b).alias(f"b{b}") for b in range(bands)])
+    least = dealt.groupBy(*own, "part").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(_salt(k, minima)))).alias(f"m{k}") for k in range(minima)])
+    m = [F.col(f"m{k}") for k in range(minima)]
+    bands = 0 if rows >= DEEP else shape(rows)
+    places = [sorted(random.Random(f"band {rows} {b}").sample(range(minima), rows)) for b in range(bands)]
+    band = lambda b: F.xxhash64(F.lit(b), "part", *[m[k] for k in places[b]])
+    bits = sum((F.shiftleft(F.shiftright(m[k], 8).bitwiseAND(1), k) for k in range(1, SKETCHED)), F.shiftright(m[0], 8).bitwiseAND(1))
+    told = least.select(*own, "part", F.expr("part % 4 * 16").alias("by"), bits.alias("bits"), F.xxhash64(*m).alias("whole"), *[band(b).alias(f"b{b}") for b in range(bands)])
     of = lambda p, name: F.max(F.when(F.col("part") == p, F.col(name)))
+    half = lambda high: F.coalesce(F.bit_or(F.when((F.col("part") >= PARTS // 2) == F.lit(high), F.expr("shiftleft(bits, by)"))), F.lit(0).cast("long"))
     columns = [of(p, f"b{b}").alias(f"b{p}_{b}") for p in range(PARTS) for b in range(bands)] + [of(p, "whole").alias(f"w{p}") for p in range(PARTS)]
-    each = told.groupBy("key", "n", "len").agg(F.bit_or(F.expr("shiftleft(bits, by)")).alias("sketch"), *columns)
-    long_ = [F.when(F.col("len") >= (SHORT if tiny else 0), F.col(f"b{p}_{b}")) for p in range(PARTS) for b in range(bands)]
-    whole = [F.col(f"w{p}") for p in range(PARTS)]
-    pairs = [(p, q) for p in range(PARTS) for q in range(p + 1, PARTS)] if tiny else []
-    short = [F.when((F.col("len") <= TINY) & (whole[p].isNotNull() | whole[q].isNotNull()), F.xxhash64(F.lit(f"{p} {q}"), whole[p], whole[q])) for p, q in pairs]
-    return each.select("key", "n", "len", "sketch", F.array_compact(F.array(*long_, *short)).alias("buckets"))
+    each = told.groupBy(*own).agg(half(False).alias("low"), half(True).alias("high"), *columns)
+    buckets = [F.when(F.col("len") >= (SHORT if tiny else 0), F.col(f"b{p}_{b}")) for p in range(PARTS) for b in range(bands)]
+    if tiny:
+        # parts that differ in the highest bit alone are one here
+        alike = [[F.col(f"w{p}") for p in range(c, PARTS, COARSE)] for c in range(COARSE)]
+        known = lambda c: F.coalesce(*alike[c]).isNotNull()
+        whole = [F.xxhash64(*[F.coalesce(w, F.lit(0)) for w in ws]) for ws in alike]
+        buckets += [F.when((F.col("len") <= TINY) & (known(p) | known(q)), F.xxhash64(F.lit(f"{p} {q}"), whole[p], whole[q])) for p in range(COARSE) for q in range(p + 1, COARSE)]
+    out = each.select(*own, F.struct("low", "high").alias("sketch"), F.array_compact(F.array(*buckets)).alias("buckets") if buckets else F.lit(None).cast("array<bigint>").alias("buckets"))
+    if rows < DEEP:
+        return out
+    # few lines come here; each band has hashes of its own
+    apart = hashed.select(*own, "h", F.explode(F.sequence(F.lit(0), F.lit(shape(rows) - 1))).alias("band"))
+    lone = apart.groupBy(*own, "band").agg(*[F.min(F.xxhash64(F.lit(k), "band", "h")).alias(f"m{k}") for k in range(rows)])
+    deep = lone.groupBy(*own).agg(F.collect_list(F.xxhash64("band", *[f"m{k}" for k in range(rows)])).alias("buckets"))
+    return out.drop("buckets").join(deep.select("key", "buckets"), "key")
 
 
 def _distinct(lines: DataFrame) -> DataFrame:
-    return lines.groupBy(_key(F.col("line"))).agg(F.first("line").alias("line"), F.count("*").alias("n"))
+    """(key, line, n, clash) of the lines of (key, line); a clash is a key of several lines."""
+    check = _check(F.col("line"))
+    return lines.groupBy("key").agg(F.first("line").alias("line"), F.count("*").alias("n"), (F.min(check) != F.max(check)).alias("clash"))
 
 
 def _small(df: DataFrame, count: int) -> DataFrame:
@@ -154,7 +217,8 @@ def _small(df: DataFrame, count: int) -> DataFrame:
 
 
 def _near(left: Column, right: Column, length: Column) -> Column:
-    return (length <= UNSKETCHED) | (F.bit_count(left.bitwiseXOR(right)) <= FAR_BITS)
+    differ = lambda c: F.bit_count(left.getField(c).bitwiseXOR(right.getField(c)))
+    return (length <= UNSKETCHED) | (differ("low") + differ("high") <= FAR_BITS)
 
 
 def _verified(texts: DataFrame, pairs: DataFrame, percent: int, cut: Callable[[Column], Column]) -> DataFrame:
@@ -166,10 +230,10 @@ def _verified(texts: DataFrame, pairs: DataFrame, percent: int, cut: Callable[[C
     return both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), common.alias("common")).where(F.expr(f"100 * common >= {percent} * (na + nb - common)")).select("a", "b")
 
 
-def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
+def _texts(lines: DataFrame, keys: DataFrame) -> DataFrame:
     """(key, line) of some keys."""
-    lines = occurrences(docs).select(_key(F.col("line")), "line").join(_small(keys, keys.count()), "key", "left_semi")
-    return lines.groupBy("key").agg(F.first("line").alias("line"))
+    found = lines.select("key", "line").join(_small(keys, keys.count()), "key", "left_semi")
+    return found.groupBy("key").agg(F.first("line").alias("line"))
 
 
 def _shared(told: DataFrame, kept: Scratch, label: str) -> DataFrame:
@@ -187,17 +251,17 @@ def _open(shared: DataFrame, known: DataFrame) -> DataFrame:
     return rows.join(mixed, "bucket")
 
 
-def links(docs: DataFrame, told: DataFrame, percent: int, cut: Callable[[Column], Column], rows: int, kept: Scratch) -> DataFrame:
-    """(node, component) of all keys that are linked with another key."""
+def links(lines: DataFrame, told: DataFrame, percent: int, cut: Callable[[Column], Column], rows: int, kept: Scratch) -> DataFrame:
+    """(node, component) of all keys that are linked with another key; ``lines`` are occurrences (key, line)."""
     shared = _shared(told, kept, "line")
     met = shared.where(F.col("a") != F.col("b")).where(_near(F.col("sketch"), F.col("hub"), F.col("len")))
     near = kept.publish(met.select("a", "b").distinct(), "line-near")
-    texts = kept.publish(_texts(docs, kept.publish(near.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "line-keys")), "line-texts")
+    texts = kept.publish(_texts(lines, kept.publish(near.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "line-keys")), "line-texts")
     first = kept.publish(_verified(texts, near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), percent, cut), "line-links")
     apart = _apart(near, components(first, "line-components", kept)).join(near.groupBy("b").agg(F.min("a").alias("a")), ["a", "b"], "left_anti")
     found = first.unionByName(kept.publish(_verified(texts, apart, percent, cut), "line-links"))
     known = components(found, "line-components", kept)
-    return components(found.unionByName(_rest(docs, shared, known, near, percent, cut, rows, kept)), "line-components", kept)
+    return components(found.unionByName(_rest(lines, shared, known, near, percent, cut, rows, kept)), "line-components", kept)
 
 
 def _apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -207,23 +271,29 @@ def _apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
-def _rest(docs: DataFrame, shared: DataFrame, known: DataFrame, near: DataFrame, percent: int, cut: Callable[[Column], Column], rows: int, kept: Scratch) -> DataFrame:
+def _rest(lines: DataFrame, shared: DataFrame, known: DataFrame, near: DataFrame, percent: int, cut: Callable[[Column], Column], rows: int, kept: Scratch) -> DataFrame:
     """Links across components of one bucket that go through other lines than its smallest."""
     open_ = kept.publish(_open(shared, known), "line-open")
     most = open_.agg(F.max("open").alias("n")).first()["n"] or 0
     meeting = open_.where(F.col("open") <= HOT)
-    if most > HOT:
+    while most > HOT:
         # lines of hot buckets are signed again, so deeply that lines under TEMPLATE seldom meet
-        deep = rows + math.ceil(math.log(most / HOT) / -math.log(TEMPLATE))
+        rows = max(DEEP, rows + math.ceil(math.log(most / HOT) / -math.log(TEMPLATE)))
         hot = kept.publish(open_.where(F.col("open") > HOT).select(F.col("node").alias("key")).distinct(), "line-hot")
-        again = signed(_texts(docs, hot).select("key", "line", F.lit(1).alias("n")), deep, tiny=False)
-        deeper = _shared(kept.publish(again, "line-deep"), kept, "line-deep")
-        meeting = meeting.unionByName(_open(deeper, known))
+        again = kept.publish(signed(_texts(lines, hot), rows, tiny=False), "line-deep")
+        open_ = kept.publish(_open(_shared(again, kept, "line-deep"), known), "line-open")
+        last, most = most, open_.agg(F.max("open").alias("n")).first()["n"] or 0
+        # lines that deeper buckets don't part are alike indeed and meet as they are
+        if most > PARTED * last:
+            most = 0
+            meeting = meeting.unionByName(open_)
+        else:
+            meeting = meeting.unionByName(open_.where(F.col("open") <= HOT))
     meeting = kept.publish(meeting.select("bucket", "node", "sketch", "len", "component"), "line-meeting")
     other = meeting.select("bucket", F.col("component").alias("c"), F.col("sketch").alias("s"), F.col("len").alias("l"))
     meeting = meeting.alias("m").join(other.alias("o"), (F.col("m.bucket") == F.col("o.bucket")) & (F.col("component") != F.col("c")) & _near(F.col("sketch"), F.col("s"), F.greatest("len", "l")), "left_semi")
     meeting = kept.publish(meeting.select("bucket", "node", "component"), "line-meeting")
-    texts = kept.publish(_texts(docs, kept.publish(meeting.select(F.col("node").alias("key")).distinct(), "line-keys")), "line-texts")
+    texts = kept.publish(_texts(lines, kept.publish(meeting.select(F.col("node").alias("key")).distinct(), "line-keys")), "line-texts")
     rows_ = kept.publish(meeting.join(_bitmaps(texts, cut).withColumnRenamed("key", "node"), "node"), "line-bitmaps")
     left, right = (rows_.select("bucket", *[F.col(c).alias(f"{c}_{n}") for c in rows_.columns if c != "bucket"]) for n in ("a", "b"))
     l, r = left.alias("l"), right.alias("r")
@@ -249,14 +319,22 @@ def removals(docs: DataFrame, percent: int = 80, cut: Callable[[Column], Column]
     """(doc, body, dropped): the numbers of the lines to remove, for each document that has any."""
     kept = Scratch(docs.sparkSession)
     rows = depth(docs)
-    told = kept.publish(signed(_distinct(occurrences(docs)), rows), "line-table")
-    found = links(docs, told, percent, cut, rows, kept).withColumnRenamed("node", "key")
+    told = kept.publish(signed(_distinct(keyed(docs)), rows), "line-table")
+    clashes = told.where("clash").select("key")
+    few = clashes.count()
+    if few:
+        # lines that share a key are signed again under their second keys
+        clashes = kept.publish(clashes, "line-clashes")
+        some = occurrences(docs).withColumn("key", _key(F.col("line"))).join(_small(clashes, few), "key", "left_semi").withColumn("key", _check(F.col("line")))
+        told = told.where("not clash").unionByName(kept.publish(signed(_distinct(some), rows), "line-table"))
+    lines = keyed(docs, clashes if few else None)
+    found = links(lines, told, percent, cut, rows, kept).withColumnRenamed("node", "key")
     alone = told.where("n > 1").select("key").join(found, "key", "left_anti").select("key", F.col("key").alias("component"))
     decided = kept.publish(found.select("key", "component").unionByName(alone), "line-decided")
     # one number orders occurrences by document and line; a part of the text's hash tells texts of one doc_id apart
     number = lambda c, bits: c.cast("decimal(20,0)") * F.lit(1 << bits).cast("decimal(19,0)")
     place = (number(F.col("doc"), 62) + number(F.col("pos"), 31) + F.col("body").bitwiseAND((1 << 31) - 1)).cast("decimal(38,0)")
-    places = occurrences(docs).select(_key(F.col("line")), "doc", "body", "pos", place.alias("place"))
+    places = lines.select("key", "doc", "body", "pos", place.alias("place"))
     hits = kept.publish(places.join(_small(decided, decided.count()), "key").drop("key"), "line-hits")
     best = kept.publish(hits.groupBy("component").agg(F.min("place").alias("best")), "line-best")
     gone = hits.join(_small(best, best.count()), "component").where("place <> best")

@@ -100,6 +100,19 @@ def test_minhash_query_on_a_family(spark, tmp_path, monkeypatch, hot):
     assert {i: r["n_shingles"] for i, r in got.items()} == {i: len(x) for i, x in sets.items()}
 
 
+@pytest.mark.parametrize("rows", [5, 8, 12, 16, 20])
+def test_minhash_deep_buckets(rows):
+    rng = np.random.default_rng(rows)
+    sets = []
+    for _ in range(400):
+        x = rng.integers(0, 1 << 62, 200, dtype=np.uint64)
+        # 160 of 200 shingles of the union in common: 180 each
+        sets += [np.unique(x[:180]), np.unique(x[20:])]
+    found = minhash.deep_buckets(sets, rows, 0.8)
+    assert (found[::2] == found[1::2]).any(1).mean() >= 0.97
+    assert not (found[:-2:2] == found[3::2]).any()
+
+
 def test_minhash_texts_of_one_id(spark):
     rnd = random.Random(5)
     x, y = words(rnd, 50), words(rnd, 60)
@@ -194,8 +207,8 @@ def test_lines_of_a_family(spark, monkeypatch, hot):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     kept = line_dedup.Scratch(spark)
     rows_ = line_dedup.depth(docs)
-    told = line_dedup.publish(line_dedup.signed(line_dedup._distinct(line_dedup.occurrences(docs)), rows_), "test")
-    got = {r["node"]: r["component"] for r in line_dedup.links(docs, told, 80, line_dedup.every_shingle, rows_, kept).collect()}
+    told = line_dedup.publish(line_dedup.signed(line_dedup._distinct(line_dedup.keyed(docs)), rows_), "test")
+    got = {r["node"]: r["component"] for r in line_dedup.links(line_dedup.keyed(docs), told, 80, line_dedup.every_shingle, rows_, kept).collect()}
     keys = {r["line"]: r["key"] for r in line_dedup.occurrences(docs).select("line", line_dedup._key(line_dedup.F.col("line"))).distinct().collect()}
     node = [got.get(keys[x], keys[x]) for x in lines]
     links = [(a, b) for a in sets for b in sets if a < b and close(sets[a], sets[b])]
@@ -206,6 +219,52 @@ def test_lines_of_a_family(spark, monkeypatch, hot):
     assert together >= 0.99 and wrong == 0
 
 
+def pairs_near(rnd, length, low, high, n):
+    """Pairs of lines of about this length whose Jaccard index is between low and high."""
+    out = []
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    while len(out) < n:
+        a = "".join(rnd.choice(letters) for _ in range(length))
+        edits = rnd.randint(0, max(1, length // 20))
+        b = list(a)
+        for _ in range(edits):
+            b[rnd.randrange(len(b))] = rnd.choice(letters)
+        b = ("".join(b) + "".join(rnd.choice(letters) for _ in range(rnd.randint(0, length // 4)))).strip()
+        x, y = ({t[k : k + 5] for k in range(len(t) - 4)} for t in (a.strip(), b))
+        if low <= len(x & y) / len(x | y) <= high:
+            out.append((a.strip(), b))
+    return out
+
+
+@pytest.mark.parametrize("rows", [7, 8, 11, 14, 20])
+def test_line_buckets_of_every_depth(spark, rows):
+    rnd = random.Random(5)
+    pairs = {n: pairs_near(rnd, n, 0.8, 0.84 if n < 30 else 0.82, 150) for n in (25, 60, 300)}
+    pairs[0] = pairs_near(rnd, 300, 0.58, 0.62, 150)
+    texts = list(dict.fromkeys(x for some in pairs.values() for pair in some for x in pair))
+    lines = spark.createDataFrame(list(enumerate(texts)), "key long, line string").repartition(4, "key")
+    found = {texts[r["key"]]: set(r["buckets"]) for r in line_dedup.signed(lines, rows).select("key", "buckets").collect()}
+    share = {n: sum(bool(found[a] & found[b]) for a, b in some) / len(some) for n, some in pairs.items()}
+    print(rows, share)
+    assert min(share[n] for n in (25, 60, 300)) >= 0.97
+    assert share[0] <= {7: 0.75, 8: 0.65, 11: 0.35, 14: 0.15, 20: 0.06}[rows]
+
+
+def test_lines_that_share_a_key(spark, monkeypatch):
+    """Different lines of one key are told apart by the second."""
+    monkeypatch.setattr(line_dedup, "_key", lambda line: line_dedup.F.pmod(line_dedup.F.xxhash64(line), line_dedup.F.lit(7)).alias("key"))
+    rnd = random.Random(8)
+    pool = [words(rnd, 12) for _ in range(30)]
+    rows = [(i, f"{pool[i % 30]}\n{pool[i * 7 % 30]} x") for i in range(60)]
+    seen, want = set(), {}
+    sets = {p: {p[k : k + 5] for k in range(len(p) - 4)} for _, t in rows for p in t.split("\n")}
+    of = groups_of(sets, lambda a, b: 100 * len(a & b) >= 80 * len(a | b))
+    for i, t in rows:
+        want[i] = "\n".join(x for x in t.split("\n") if not (of[x] in seen or seen.add(of[x])))
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), cut=line_dedup.every_shingle)
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == want
+
+
 def test_lines_of_texts_of_one_id(spark):
     a, b, c, d = "boilerplate line of some length", "second beta with other words", "a totally distinct important sentence", "third gamma, once more different"
     rows = [(1, a), (2, f"{a}\n{b}"), (2, f"{c}\n{d}"), (2, f"{a}\n{b}"), (3, f"{c}\r\n\t{d} \n"), (None, f"{b}\n\n")]
