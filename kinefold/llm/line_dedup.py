@@ -11,9 +11,10 @@ similarity is the Jaccard index of the two sets of distinct shingles.
 
 1. Equal lines are grouped by a 64-bit key; a second key shows where different lines
    share one, and those get keys of another hash, so 128 bits decide.  Each distinct line's
-   shingles are dealt by their hash to ``PARTS`` parts, each with 16 minima or more.  Bands of
-   minima of a part are the line's buckets; bits of the minima are its sketch.  Only buckets
-   and sketches are stored, no minima and no texts.
+   shingles are dealt by their hash to parts, four for each row of a band, each with a few minima.
+   Each minimum deals the parts anew into four blocks, and the minima of a block are a band, so no
+   two bands share a minimum.  Bands are the line's buckets; bits of the minima are its sketch.
+   Only buckets and sketches are stored, no minima and no texts.
 2. Lines that share a bucket with others meet its smallest key.  Pairs whose
    sketches are too far apart are dropped; of the others each line first has
    one pair verified on the whole shingle sets, and after a union-find those
@@ -28,9 +29,8 @@ similarity is the Jaccard index of the two sets of distinct shingles.
 
 Bands get longer as the corpus grows, so that unlike lines seldom share one, and
 more numerous, so that a pair of similarity 0.8 is missed by all with a probability
-of at most ``MISS``, a more similar one more rarely.  The bands of a part overlap; their number
-(:func:`shape`) follows from the chances of each number of equal minima, so overlap is
-paid for with further bands.  From ``DEEP`` rows on every band has minima of its own.  Lines of up to ``TINY``
+of at most ``MISS``, a more similar one more rarely (:func:`shape`).  From ``DEEP`` rows on
+every band has hashes of its own.  Lines of up to ``TINY``
 characters also have buckets of two whole parts each, those under ``SHORT`` no others.
 
 Blank lines are neither compared nor removed.  A document keeps its row even if
@@ -55,13 +55,12 @@ from .components import components
 
 CHARACTERS = 5
 SHINGLE, STRIDE = 12, 8
-#: Parts of a line's shingles, and those that the lowest bits tell apart for tiny lines.
-PARTS, COARSE = 8, 4
-#: Minima of a part by the largest number of rows that they serve; bands of DEEP rows or more share none.
-MINIMA = {8: 16, 12: 32}
+#: Blocks of parts that the bands of one minimum share out, and parts that tiny lines know by their remainder.
+BLOCKS = COARSE = 4
+#: Bands of so many rows or more have minima of their own.
 DEEP = 13
-#: Minima of a part whose bits make the sketch.
-SKETCHED = 16
+#: Parts and minima of each whose bits make the sketch.
+SKETCHED_PARTS, SKETCHED = 32, 4
 #: Rows of a band at least, and by how many characters of text per further row.
 LEAST_ROWS, GROWTH, CHARACTERS_A_LINE = 7, 16, 64
 #: Probability that all bands miss a pair of similarity 0.8, the same for bands of DEEP rows or more, and the similarity that deeper buckets tell from it.
@@ -135,25 +134,13 @@ def keyed(docs: DataFrame, clashes: DataFrame | None = None) -> DataFrame:
     return told.withColumn("key", F.when(F.col("clash"), _check(F.col("line"))).otherwise(F.col("key"))).drop("clash")
 
 
-def minima_of(rows: int) -> int:
-    return min(m for most, m in MINIMA.items() if rows <= most)
-
-
-def missed(rows: int, minima: int, bands: int, similarity: float = 0.8) -> float:
-    """The probability that so many bands, each of some of the minima, miss a pair: over all numbers of equal minima."""
-    chance = lambda m: math.comb(minima, m) * similarity**m * (1 - similarity) ** (minima - m)
-    return sum(chance(m) * (1 - math.comb(m, rows) / math.comb(minima, rows)) ** bands for m in range(minima + 1))
-
-
 @lru_cache(maxsize=64)
 def shape(rows: int) -> int:
-    """The number of bands of so many rows: of each part, or of the line from DEEP rows on."""
+    """The number of bands of so many rows, which is a multiple of BLOCKS below DEEP rows."""
+    chance = 0.8**rows
     if rows >= DEEP:
-        return math.ceil(math.log(DEEP_MISS) / math.log1p(-(0.8**rows)))
-    bands = 1
-    while missed(rows, minima_of(rows), bands) ** PARTS > MISS:
-        bands += 1
-    return bands
+        return math.ceil(math.log(DEEP_MISS) / math.log1p(-chance))
+    return BLOCKS * math.ceil(math.log(MISS) / math.log1p(-chance) / BLOCKS)
 
 
 def depth(docs: DataFrame) -> int:
@@ -165,37 +152,49 @@ def depth(docs: DataFrame) -> int:
 def _hashed(lines: DataFrame) -> tuple[DataFrame, list[str]]:
     """The columns of ``lines`` but line, with len and h, the hash of each run of characters; and all but h."""
     own = [c for c in lines.columns if c != "line"]
-    coded = lines.select(*own, F.length("line").alias("len"), F.encode("line", "UTF-16BE").alias("units"))
+    # four bytes a character, so that a run is found without counting from the line's start
+    coded = lines.select(*own, F.length("line").alias("len"), F.encode("line", "UTF-32").alias("units"))
     own = [*own, "len"]
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor(F.length("units") / 2).cast("int") - CHARACTERS))
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.col("len") - CHARACTERS))
     units = coded.select(*own, "units", F.explode(starts).alias("i"))
-    return units.select(*own, F.xxhash64(F.substring("units", F.col("i") * 2 + 1, F.lit(2 * CHARACTERS))).alias("h")), own
+    return units.select(*own, F.xxhash64(F.substring("units", F.col("i") * 4 + 1, F.lit(4 * CHARACTERS))).alias("h")), own
+
+
+def _cut(lines: DataFrame, cut: Callable[[Column], Column]) -> tuple[DataFrame, list[str]]:
+    """As :func:`_hashed`, for shingles of any kind."""
+    if cut is every_shingle:
+        return _hashed(lines)
+    own = [c for c in lines.columns if c != "line"]
+    return lines.select(*own, F.explode(cut(F.col("line"))).alias("shingle")).select(*own, F.xxhash64("shingle").alias("h")), own
 
 
 def signed(lines: DataFrame, rows: int, tiny: bool = True) -> DataFrame:
     """The columns of ``lines`` (key, line and others) but line, with len, sketch and buckets; lines are distinct and dealt by key."""
     hashed, own = _hashed(lines)
-    minima = minima_of(min(rows, DEEP - 1))
-    dealt = hashed.select(*own, F.col("h").bitwiseAND(PARTS - 1).cast("int").alias("part"), "h")
+    narrow = min(rows, DEEP - 1)
+    parts, minima = BLOCKS * narrow, max(SKETCHED, shape(narrow) // BLOCKS) if rows < DEEP else SKETCHED
+    dealt = hashed.select(*own, F.pmod("h", F.lit(parts)).cast("int").alias("part"), "h")
     # a line's shingles are in one partition already, so neither step shuffles
     least = dealt.groupBy(*own, "part").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(_salt(k, minima)))).alias(f"m{k}") for k in range(minima)])
     m = [F.col(f"m{k}") for k in range(minima)]
-    bands = 0 if rows >= DEEP else shape(rows)
-    places = [sorted(random.Random(f"band {rows} {b}").sample(range(minima), rows)) for b in range(bands)]
-    band = lambda b: F.xxhash64(F.lit(b), "part", *[m[k] for k in places[b]])
-    bits = sum((F.shiftleft(F.shiftright(m[k], 8).bitwiseAND(1), k) for k in range(1, SKETCHED)), F.shiftright(m[0], 8).bitwiseAND(1))
-    told = least.select(*own, "part", F.expr("part % 4 * 16").alias("by"), bits.alias("bits"), F.xxhash64(*m).alias("whole"), *[band(b).alias(f"b{b}") for b in range(bands)])
-    of = lambda p, name: F.max(F.when(F.col("part") == p, F.col(name)))
-    half = lambda high: F.coalesce(F.bit_or(F.when((F.col("part") >= PARTS // 2) == F.lit(high), F.expr("shiftleft(bits, by)"))), F.lit(0).cast("long"))
-    columns = [of(p, f"b{b}").alias(f"b{p}_{b}") for p in range(PARTS) for b in range(bands)] + [of(p, "whole").alias(f"w{p}") for p in range(PARTS)]
-    each = told.groupBy(*own).agg(half(False).alias("low"), half(True).alias("high"), *columns)
-    buckets = [F.when(F.col("len") >= (SHORT if tiny else 0), F.col(f"b{p}_{b}")) for p in range(PARTS) for b in range(bands)]
+    bit = lambda k, up: F.shiftright(m[k], 8).bitwiseAND(1) * F.expr(f"shiftleft(1L, part + {up})")
+    sketched = F.col("part") < SKETCHED_PARTS
+    halves = [F.when(sketched, bit(k, 0).bitwiseOR(bit(k + 1, SKETCHED_PARTS))).otherwise(F.lit(0).cast("long")) for k in range(0, SKETCHED, 2)]
+    told = least.select(*own, "part", *[h.alias(n) for h, n in zip(halves, ("low", "high"), strict=True)], F.xxhash64("part", *m).alias("whole"), *[F.xxhash64(F.lit(k), "part", m[k]).alias(f"x{k}") for k in range(minima)])
+    bands = []
+    for k in range(shape(rows) // BLOCKS if rows < DEEP else 0):
+        places = random.Random(f"band {rows} {k}").sample(range(parts), parts)
+        for b in range(BLOCKS):
+            block = sum(1 << p for p in places[b * rows : (b + 1) * rows])
+            bands.append(F.bit_xor(F.expr(f"if((shiftrightunsigned({block}L, part) & 1L) = 1L, x{k}, 0L)")))
+    wholes = [F.bit_xor(F.when(F.col("part") % COARSE == c, F.col("whole"))) for c in range(COARSE)] if tiny else []
+    each = told.groupBy(*own).agg(F.bit_or("low").alias("low"), F.bit_or("high").alias("high"), *[x.alias(f"b{b}") for b, x in enumerate(bands)], *[x.alias(f"w{c}") for c, x in enumerate(wholes)])
+    # where none of a band's parts holds a shingle, it says nothing
+    buckets = [F.when((F.col("len") >= (SHORT if tiny else 0)) & (F.col(f"b{b}") != 0), F.xxhash64(F.lit(b), F.col(f"b{b}"))) for b in range(len(bands))]
     if tiny:
-        # parts that differ in the highest bit alone are one here
-        alike = [[F.col(f"w{p}") for p in range(c, PARTS, COARSE)] for c in range(COARSE)]
-        known = lambda c: F.coalesce(*alike[c]).isNotNull()
-        whole = [F.xxhash64(*[F.coalesce(w, F.lit(0)) for w in ws]) for ws in alike]
-        buckets += [F.when((F.col("len") <= TINY) & (known(p) | known(q)), F.xxhash64(F.lit(f"{p} {q}"), whole[p], whole[q])) for p in range(COARSE) for q in range(p + 1, COARSE)]
+        whole = [F.col(f"w{c}") for c in range(COARSE)]
+        pairs = [(p, q) for p in range(COARSE) for q in range(p + 1, COARSE)]
+        buckets += [F.when((F.col("len") <= TINY) & (whole[p].isNotNull() | whole[q].isNotNull()), F.xxhash64(F.lit(f"{p} {q}"), *[F.coalesce(whole[c], F.lit(0)) for c in (p, q)])) for p, q in pairs]
     out = each.select(*own, F.struct("low", "high").alias("sketch"), F.array_compact(F.array(*buckets)).alias("buckets") if buckets else F.lit(None).cast("array<bigint>").alias("buckets"))
     if rows < DEEP:
         return out
@@ -223,11 +222,13 @@ def _near(left: Column, right: Column, length: Column) -> Column:
 
 def _verified(texts: DataFrame, pairs: DataFrame, percent: int, cut: Callable[[Column], Column]) -> DataFrame:
     """Pairs of keys whose whole shingle sets have 100 * intersection >= percent * union."""
-    sets = lambda n: texts.select(F.col("key").alias(n), F.col("line").alias(f"line_{n}"))
-    hashes = lambda n: F.array_distinct(F.transform(cut(F.col(f"line_{n}")), lambda x: F.xxhash64(x))).alias(f"s{n}")
-    both = pairs.join(sets("a"), "a").join(sets("b"), "b").select("a", "b", hashes("a"), hashes("b"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    return both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), common.alias("common")).where(F.expr(f"100 * common >= {percent} * (na + nb - common)")).select("a", "b")
+    texts_of = lambda n: texts.select(F.col("key").alias(n), F.col("line").alias(f"line_{n}"))
+    # each pair's shingles stay in one task, and pairs that share a line are dealt apart
+    both = pairs.join(texts_of("a"), "a").join(texts_of("b"), "b").repartition("a", "b")
+    sides = F.array(F.struct(F.lit(1).alias("side"), F.col("line_a").alias("line")), F.struct(F.lit(2).alias("side"), F.col("line_b").alias("line")))
+    cuts, _ = _cut(both.select("a", "b", F.explode(sides).alias("s")).select("a", "b", "s.side", "s.line"), cut)
+    held = cuts.groupBy("a", "b", "h").agg(F.bit_or("side").alias("sides")).groupBy("a", "b").agg(F.count("*").alias("either"), F.count_if(F.col("sides") == 3).alias("common"))
+    return held.where(F.expr(f"100 * common >= {percent} * either")).select("a", "b")
 
 
 def _texts(lines: DataFrame, keys: DataFrame) -> DataFrame:
@@ -239,9 +240,11 @@ def _texts(lines: DataFrame, keys: DataFrame) -> DataFrame:
 def _shared(told: DataFrame, kept: Scratch, label: str) -> DataFrame:
     """(bucket, b, sketch, len, a, hub): the lines of buckets with several, and the smallest key there with its sketch."""
     bands = told.select(F.col("key").alias("b"), "sketch", "len", F.explode("buckets").alias("bucket"))
-    least = bands.groupBy("bucket").agg(F.min("b").alias("a"), F.count("*").alias("size")).where("size > 1").select("bucket", "a")
-    hubs = kept.publish(least.join(told.select(F.col("key").alias("a"), F.col("sketch").alias("hub")), "a"), f"{label}-hubs")
-    return kept.publish(bands.join(_small(hubs, hubs.count()), "bucket"), f"{label}-shared")
+    # most buckets hold one line: only their numbers are exchanged
+    again = kept.publish(bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket"), f"{label}-again")
+    met = kept.publish(bands.join(_small(again, again.count()), "bucket"), f"{label}-met")
+    least = met.groupBy("bucket").agg(F.min(F.struct("b", "sketch")).alias("least")).select("bucket", F.col("least.b").alias("a"), F.col("least.sketch").alias("hub"))
+    return met.join(least.select(F.when(F.col("bucket").isNotNull(), F.col("bucket")).alias("bucket"), "a", "hub"), "bucket")
 
 
 def _open(shared: DataFrame, known: DataFrame) -> DataFrame:
@@ -253,7 +256,7 @@ def _open(shared: DataFrame, known: DataFrame) -> DataFrame:
 
 def links(lines: DataFrame, told: DataFrame, percent: int, cut: Callable[[Column], Column], rows: int, kept: Scratch) -> DataFrame:
     """(node, component) of all keys that are linked with another key; ``lines`` are occurrences (key, line)."""
-    shared = _shared(told, kept, "line")
+    shared = kept.publish(_shared(told, kept, "line"), "line-shared")
     met = shared.where(F.col("a") != F.col("b")).where(_near(F.col("sketch"), F.col("hub"), F.col("len")))
     near = kept.publish(met.select("a", "b").distinct(), "line-near")
     texts = kept.publish(_texts(lines, kept.publish(near.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "line-keys")), "line-texts")
@@ -281,7 +284,7 @@ def _rest(lines: DataFrame, shared: DataFrame, known: DataFrame, near: DataFrame
         rows = max(DEEP, rows + math.ceil(math.log(most / HOT) / -math.log(TEMPLATE)))
         hot = kept.publish(open_.where(F.col("open") > HOT).select(F.col("node").alias("key")).distinct(), "line-hot")
         again = kept.publish(signed(_texts(lines, hot), rows, tiny=False), "line-deep")
-        open_ = kept.publish(_open(_shared(again, kept, "line-deep"), known), "line-open")
+        open_ = kept.publish(_open(kept.publish(_shared(again, kept, "line-deep"), "line-shared"), known), "line-open")
         last, most = most, open_.agg(F.max("open").alias("n")).first()["n"] or 0
         # lines that deeper buckets don't part are alike indeed and meet as they are
         if most > PARTED * last:
@@ -307,11 +310,11 @@ def _rest(lines: DataFrame, shared: DataFrame, known: DataFrame, near: DataFrame
 
 def _bitmaps(texts: DataFrame, cut: Callable[[Column], Column]) -> DataFrame:
     """(key, n, bits, w0, ...): a line's number of distinct shingles, and the bits that their hashes set."""
-    sets = texts.select("key", F.array_distinct(F.transform(cut(F.col("line")), lambda x: F.xxhash64(x))).alias("set"))
-    each = sets.select("key", F.size("set").alias("n"), F.explode("set").alias("h"))
+    cuts, _ = _cut(texts.repartition("key"), cut)
+    each = cuts.select("key", "h").distinct()
     bit = F.expr("shiftleft(1L, int(shiftright(h, 40) & 63))")
-    words = each.select("key", "n", F.pmod("h", F.lit(WORDS)).cast("int").alias("word"), bit.alias("bit")).groupBy("key", "n", "word").agg(F.bit_or("bit").alias("bits"))
-    maps = words.groupBy("key", "n").agg(F.sum(F.bit_count("bits")).cast("int").alias("bits"), *[F.coalesce(F.max(F.when(F.col("word") == k, F.col("bits"))), F.lit(0)).cast("long").alias(f"w{k}") for k in range(WORDS)])
+    words = each.groupBy("key", F.pmod("h", F.lit(WORDS)).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits"), F.count("*").alias("n"))
+    maps = words.groupBy("key").agg(F.sum("n").cast("int").alias("n"), F.sum(F.bit_count("bits")).cast("int").alias("bits"), *[F.coalesce(F.max(F.when(F.col("word") == k, F.col("bits"))), F.lit(0)).cast("long").alias(f"w{k}") for k in range(WORDS)])
     return maps
 
 
