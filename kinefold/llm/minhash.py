@@ -8,16 +8,17 @@
 3. Classes that agree in a band are candidates.  First each class meets the
    smallest class of its bucket.  Buckets whose classes are then still in
    several components are compared across these, cut into blocks: a task holds two
-   blocks of at most ``BLOCK`` classes.  Buckets of over ``HOT`` such classes are
-   first replaced by deeper bands, each of minima of its own, which together miss a
-   pair at the threshold with a probability of at most ``DEEP_MISS``; buckets that
-   stay so large are deepened again while that parts their classes.
+   blocks of at most ``BLOCK`` classes.  Classes of buckets of over ``HOT`` such
+   first meet in deeper bands, each of minima of its own, which are deepened again while
+   that parts them.  What these miss is found exactly: in an order of all shingles by
+   their number of classes, two sets that reach the similarity share one of their first,
+   so the classes that are in different components still meet at those shingles.
 4. A candidate pair is judged on batches of its signatures.  After each batch
    the posterior of its similarity (uniform prior, so a Beta distribution) says
    how likely a similarity at the threshold is to show so few agreements; below
-   the miss probability the pair is dropped.  In blocks the bitmaps then bound the
-   similarity from above, which loses nothing.  Survivors are verified on their
-   whole shingle sets, so no link is wrong.
+   ``MISS`` the pair is dropped.  In blocks the bitmaps then bound the
+   similarity from above, which loses nothing; blocks of the exact way look at these
+   alone.  Survivors are verified on their whole shingle sets, so no link is wrong.
 5. Verified pairs and components give the classes' component ids.
 
 At a similarity of 0.8 a pair is missed by all bands with probability
@@ -51,9 +52,9 @@ from .components import components
 BANDS, ROWS = 20, 4
 #: Signatures looked at before each decision.
 BATCHES = (16, 32, 48, 64, 80)
-MISS = 1e-4
+MISS = 1e-9
 BLOCK = 256
-#: Open classes of a bucket from which on it is replaced by deeper ones, their miss probability, and the similarity they tell from the threshold.
+#: Open classes of a bucket from which on they meet in deeper ones and then exactly, the miss probability of the deeper ones, and the similarity they tell from the threshold.
 HOT, DEEP_MISS, TEMPLATE = 1024, 0.01, 0.6
 #: Rows added to bands at once at most, and the share of the largest bucket from which on deeper ones don't part classes.
 STEP, PARTED = 8, 0.8
@@ -218,8 +219,7 @@ def _deeper(docs: DataFrame, hot: DataFrame, words: int, rows: int, threshold: f
                 ends = np.arange(len(found) + 1, dtype=np.int32) * found.shape[1]
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(found.ravel()))], ["id", "buckets"])
 
-    some = _identified(docs).join(_small(hot, hot.count()), ["doc_id", "body"]).select("id", "text")
-    once = some.mapInArrow(run, f"id {NODE}, buckets array<long>").dropDuplicates(["id"])
+    once = _texts(docs, hot).mapInArrow(run, f"id {NODE}, buckets array<long>").dropDuplicates(["id"])
     return once.select("id", F.explode("buckets").alias("bucket"))
 
 
@@ -240,10 +240,13 @@ def _small(df: DataFrame, count: int) -> DataFrame:
     return F.broadcast(df) if count <= BROADCAST_ROWS else df.hint("shuffle_hash")
 
 
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int, kept: Scratch) -> DataFrame:
-    """Pairs whose whole shingle sets reach the similarity: 100 * intersection >= percent * union."""
-    ids = kept.publish(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes.select("id", "doc_id", "body"), "id"), "minhash-ids")
-    some = _identified(docs).join(_small(ids, ids.count()), ["doc_id", "body"]).select("id", "text")
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of the classes (id, doc_id, body), one row for each row of ``docs`` that has them."""
+    return _identified(docs).join(_small(ids, ids.count()), ["doc_id", "body"]).select("id", "text")
+
+
+def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """(id, shingles): the whole sets of the classes (id, doc_id, body), whose texts are read again."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,7 +256,13 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int,
                 flat = np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["id", "shingles"])
 
-    known = kept.publish(some.mapInArrow(sets, f"id {NODE}, shingles array<long>").dropDuplicates(["id"]), "minhash-sets")
+    return _texts(docs, ids).mapInArrow(sets, f"id {NODE}, shingles array<long>").dropDuplicates(["id"])
+
+
+def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int, kept: Scratch) -> DataFrame:
+    """Pairs whose whole shingle sets reach the similarity: 100 * intersection >= percent * union."""
+    ids = kept.publish(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes.select("id", "doc_id", "body"), "id"), "minhash-ids")
+    known = kept.publish(_sets(docs, ids, words), "minhash-sets")
     both = pairs.join(known.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(known.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
     # compared row by row in the JVM: batches of pairs with both sets would not have a bounded size
     common = F.size(F.array_intersect("sa", "sb"))
@@ -261,32 +270,59 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int,
 
 
 def _open(bands: DataFrame, known: DataFrame) -> DataFrame:
-    """(bucket, id, component, n): the classes of buckets with several components, and their number there."""
+    """(bucket, id, component, n): the classes of buckets with several components, and their number there.
+
+    Of buckets of the same classes, told by 128 bits, one is enough.
+    """
     rows = bands.join(known.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-    mixed = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high").select("bucket", "n")
-    return rows.join(mixed, "bucket")
+    members = [F.bit_xor(F.xxhash64(F.lit(k), "id")).alias(f"m{k}") for k in range(2)]
+    mixed = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"), *members).where("low <> high")
+    return rows.join(mixed.groupBy("n", "m0", "m1").agg(F.min("bucket").alias("bucket")).select("bucket", "n"), "bucket")
 
 
-def _rest(docs: DataFrame, classes: DataFrame, known: DataFrame, words: int, percent: int, kept: Scratch) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket and may reach the similarity.
+def _rest(docs: DataFrame, classes: DataFrame, known: DataFrame, words: int, percent: int, kept: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs (a, b) of different components that share a bucket and may reach the similarity, and (bucket, id) of hot buckets, if there are any.
 
-    Members of a bucket are dealt into blocks by a hash; each pair of blocks is one group.
+    Of the pairs in hot buckets those that deeper bands miss are left to :func:`_exactly`.
     """
-    threshold = percent / 100
     open_ = kept.publish(_open(_bands(classes), known), "minhash-open")
     most = open_.agg(F.max("n").alias("n")).first()["n"] or 0
     meeting = open_.where(F.col("n") <= HOT)
-    rows = ROWS
+    rows, first = ROWS, open_.where(F.col("n") > HOT).select("bucket", "id") if most > HOT else None
     while most > HOT:
         rows += min(STEP, math.ceil(math.log(most / HOT) / -math.log(TEMPLATE)))
         hot = kept.publish(open_.where(F.col("n") > HOT).select("id").distinct().join(classes.select("id", "doc_id", "body"), "id"), "minhash-hot")
-        deeper = kept.publish(_deeper(docs, hot, words, rows, threshold), "minhash-deep")
+        deeper = kept.publish(_deeper(docs, hot, words, rows, percent / 100), "minhash-deep")
         open_ = kept.publish(_open(deeper, known), "minhash-open")
         last, most = most, open_.agg(F.max("n").alias("n")).first()["n"] or 0
-        # classes that deeper buckets don't part are alike indeed and meet in blocks as they are
-        parted = most <= PARTED * last
-        meeting = meeting.unionByName(open_.where(F.col("n") <= HOT) if parted else open_)
-        most = most if parted else 0
+        meeting = meeting.unionByName(open_.where(F.col("n") <= HOT))
+        # classes that deeper buckets don't part are alike indeed and meet exactly
+        if most > PARTED * last:
+            break
+    return _met(meeting, classes, percent, MISS), first
+
+
+def _exactly(docs: DataFrame, classes: DataFrame, hot: DataFrame, known: DataFrame, words: int, percent: int, kept: Scratch) -> DataFrame:
+    """Pairs (a, b) that may reach the similarity, all of the classes of buckets of ``hot`` (bucket, id) that still hold several components.
+
+    Of the n shingles of a set, a set that reaches the similarity has ceil(percent * n / 100) at least.  So in any order of all shingles,
+    one of the first n + 1 less that many is among the first of both.  Those of fewest classes come first, and those of one class lead nowhere.
+    """
+    left = kept.publish(_open(hot, known).select("id").distinct().join(classes.select("id", "doc_id", "body"), "id"), "minhash-hot")
+    sets = kept.publish(_sets(docs, left, words), "minhash-sets")
+    each = sets.select("id", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+    often = kept.publish(each.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1"), "minhash-often")
+    ordered = each.join(_small(often, often.count()), "shingle").groupBy("id", "size").agg(F.array_sort(F.collect_list(F.struct("often", "shingle"))).alias("known"))
+    first = F.greatest(F.lit(0), F.size("known") + 1 - F.ceil(F.col("size") * percent / 100).cast("int"))
+    buckets = kept.publish(ordered.select("id", F.explode(F.slice("known", F.lit(1), first)).alias("e")).select(F.col("e.shingle").alias("bucket"), "id"), "minhash-first")
+    return _met(kept.publish(_open(buckets, known), "minhash-open"), classes, percent, None)
+
+
+def _met(meeting: DataFrame, classes: DataFrame, percent: int, miss: float | None) -> DataFrame:
+    """Pairs (a, b) of different components that meet in a bucket and may reach the similarity; without ``miss`` none is lost.
+
+    Members of a bucket are dealt into blocks by a hash; each pair of blocks is one group.
+    """
     dealt = meeting.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("id", "bucket"), F.col("blocks")).cast("int"))
     full = dealt.join(classes.select("id", "signature", "bitmap", "n_shingles"), "id")
     # block i meets block j in the group (i, j), i <= j
@@ -294,7 +330,7 @@ def _rest(docs: DataFrame, classes: DataFrame, known: DataFrame, words: int, per
     spread = full.withColumn("meet", F.explode(meets)).select("bucket", "meet.i", "meet.j", "block", "id", "component", "signature", "bitmap", "n_shingles")
 
     def each(keys: list[np.ndarray], rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        u, v = _block_pairs(keys, rows, percent)
+        u, v = _block_pairs(keys, rows, percent, miss)
         ids = rows.column("id")
         yield pa.RecordBatch.from_arrays([_flat(ids.take(pa.array(u))), _flat(ids.take(pa.array(v)))], ["a", "b"])
 
@@ -306,8 +342,8 @@ def _flat(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
-def _block_pairs(keys: list[np.ndarray], rows: pa.RecordBatch, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of pairs of different components within a group that signatures and bitmaps leave possible."""
+def _block_pairs(keys: list[np.ndarray], rows: pa.RecordBatch, percent: int, miss: float | None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of pairs of different components within a group that signatures, if some may be missed, and bitmaps leave possible."""
     marks = _signature_rows(rows.column("signature").to_pylist())
     maps = np.frombuffer(b"".join(rows.column("bitmap").to_pylist()), np.uint64).reshape(len(marks), -1)
     size, bits = rows.column("n_shingles").to_numpy(), np.bitwise_count(maps).sum(1, dtype=np.int64)
@@ -324,8 +360,9 @@ def _block_pairs(keys: list[np.ndarray], rows: pa.RecordBatch, percent: int) ->
         p, q = p[apart], q[apart]
         for at in range(0, len(p), 1 << 14):
             u, v = p[at : at + (1 << 14)], q[at : at + (1 << 14)]
-            ok = plausible(marks[u], marks[v], percent / 100)
-            u, v = u[ok], v[ok]
+            if miss:
+                ok = plausible(marks[u], marks[v], percent / 100, miss)
+                u, v = u[ok], v[ok]
             shared = np.bitwise_count(maps[u] & maps[v]).sum(1, dtype=np.int64)
             # of a set's shingles at least so many are not the other's as its bits that the other lacks
             common = np.minimum(size[u] - bits[u], size[v] - bits[v]) + shared
@@ -356,9 +393,14 @@ def grouped_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
     near = kept.publish(_pruned(pairs, classes, percent / 100), "minhash-hubs")
     first = _verified(docs, classes, near, words, percent, kept)
     known = components(first, "minhash-components", kept)
-    left = kept.publish(_rest(docs, classes, known, words, percent, kept).join(near, ["a", "b"], "left_anti"), "minhash-rest")
-    second = _verified(docs, classes, left, words, percent, kept)
-    final = components(first.unionByName(second), "minhash-components", kept)
+    met, hot = _rest(docs, classes, known, words, percent, kept)
+    left = kept.publish(met.join(near, ["a", "b"], "left_anti"), "minhash-rest")
+    links = first.unionByName(_verified(docs, classes, left, words, percent, kept))
+    final = components(links, "minhash-components", kept)
+    if hot:
+        met = _exactly(docs, classes, hot, final, words, percent, kept)
+        left = kept.publish(met.join(near.unionByName(left), ["a", "b"], "left_anti"), "minhash-rest")
+        final = components(links.unionByName(_verified(docs, classes, left, words, percent, kept)), "minhash-components", kept)
     of_class = publish(classes.select("set_key", "id").join(final.withColumnRenamed("node", "id"), "id", "left").select("set_key", "id", F.coalesce("component", "id").alias("component")), "minhash-told")
     kept.remove()
     # the doc_id of a number is its quotient, which is made exact first

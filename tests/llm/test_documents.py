@@ -100,6 +100,21 @@ def test_minhash_query_on_a_family(spark, tmp_path, monkeypatch, hot):
     assert {i: r["n_shingles"] for i, r in got.items()} == {i: len(x) for i, x in sets.items()}
 
 
+def test_minhash_hot_buckets_lose_no_link(spark, monkeypatch):
+    """Pairs of hot buckets link also where the deeper bands miss them."""
+    monkeypatch.setattr(minhash, "HOT", 4)
+    monkeypatch.setattr(minhash, "_deeper", lambda docs, hot, *_: hot.select(minhash.F.xxhash64("id").alias("bucket"), "id"))
+    rnd = random.Random(43)
+    # 70 shingles of all, 4 of a pair, 9 of each: 74 of 92 in common in a pair, 70 of 96 else
+    stem, own = words(rnd, 73), [words(rnd, 4) for _ in range(60)]
+    texts = [f"{stem} {p} {words(rnd, 9)}" for p in own for _ in range(2)]
+    sets = shingle_sets(texts, 4)
+    want = groups_of(sets, lambda a, b: bool(a and b) and 100 * len(a & b) >= 80 * len(a | b))
+    assert sorted(want.values()) == [i - i % 2 for i in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, 4, 80).collect()} == want
+
+
 @pytest.mark.parametrize("rows", [5, 8, 12, 16, 20])
 def test_minhash_deep_buckets(rows):
     rng = np.random.default_rng(rows)
