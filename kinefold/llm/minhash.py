@@ -53,7 +53,8 @@ BANDS, ROWS = 20, 4
 #: Signatures looked at before each decision.
 BATCHES = (16, 32, 48, 64, 80)
 MISS = 1e-9
-BLOCK = 256
+#: Classes of a block; those of the exact way are larger, as each class goes to as many groups as its bucket has blocks.
+BLOCK, EXACT_BLOCK = 256, 1024
 #: Open classes of a bucket from which on they meet in deeper ones and then exactly, the miss probability of the deeper ones, and the similarity they tell from the threshold.
 HOT, DEEP_MISS, TEMPLATE = 1024, 0.01, 0.6
 #: Rows added to bands at once at most, and the share of the largest bucket from which on deeper ones don't part classes.
@@ -299,7 +300,7 @@ def _rest(docs: DataFrame, classes: DataFrame, known: DataFrame, words: int, per
         # classes that deeper buckets don't part are alike indeed and meet exactly
         if most > PARTED * last:
             break
-    return _met(meeting, classes, percent, MISS), first
+    return _met(meeting, classes, percent, MISS, BLOCK), first
 
 
 def _exactly(docs: DataFrame, classes: DataFrame, hot: DataFrame, known: DataFrame, words: int, percent: int, kept: Scratch) -> DataFrame:
@@ -315,15 +316,15 @@ def _exactly(docs: DataFrame, classes: DataFrame, hot: DataFrame, known: DataFra
     ordered = each.join(_small(often, often.count()), "shingle").groupBy("id", "size").agg(F.array_sort(F.collect_list(F.struct("often", "shingle"))).alias("known"))
     first = F.greatest(F.lit(0), F.size("known") + 1 - F.ceil(F.col("size") * percent / 100).cast("int"))
     buckets = kept.publish(ordered.select("id", F.explode(F.slice("known", F.lit(1), first)).alias("e")).select(F.col("e.shingle").alias("bucket"), "id"), "minhash-first")
-    return _met(kept.publish(_open(buckets, known), "minhash-open"), classes, percent, None)
+    return _met(kept.publish(_open(buckets, known), "minhash-open"), classes, percent, None, EXACT_BLOCK)
 
 
-def _met(meeting: DataFrame, classes: DataFrame, percent: int, miss: float | None) -> DataFrame:
+def _met(meeting: DataFrame, classes: DataFrame, percent: int, miss: float | None, size: int) -> DataFrame:
     """Pairs (a, b) of different components that meet in a bucket and may reach the similarity; without ``miss`` none is lost.
 
-    Members of a bucket are dealt into blocks by a hash; each pair of blocks is one group.
+    Members of a bucket are dealt into blocks of about ``size`` by a hash; each pair of blocks is one group.
     """
-    dealt = meeting.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("id", "bucket"), F.col("blocks")).cast("int"))
+    dealt = meeting.withColumn("blocks", F.ceil(F.col("n") / size).cast("int")).withColumn("block", F.pmod(F.xxhash64("id", "bucket"), F.col("blocks")).cast("int"))
     full = dealt.join(classes.select("id", "signature", "bitmap", "n_shingles"), "id")
     # block i meets block j in the group (i, j), i <= j
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")))
