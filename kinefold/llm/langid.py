@@ -41,7 +41,8 @@ SAMPLE_ROWS = 2400
 #: So many languages are learnt, the most frequent ones.
 LANGUAGES = 400
 UNKNOWN = "und"
-SLICE = 1 << 20
+#: Bytes of text that a task works on at once; a worker keeps some hundred times that while it is idle.
+SLICE = 1 << 17
 
 
 @lru_cache(maxsize=1)

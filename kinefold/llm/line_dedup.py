@@ -71,8 +71,8 @@ TINY, SHORT = 15, 12
 FAR_BITS, UNSKETCHED = 36, 24
 #: Open lines of a bucket from which on it is replaced by deeper ones, as long as those leave at most so large a share.
 HOT, PARTED = 400, 0.8
-#: Rows of two or three numbers sent to all tasks at once at most, some 50 MB; beyond it a shuffled join does the same.
-BROADCAST_ROWS = 1_000_000
+#: Rows of two or three numbers sent to all tasks at once at most, some 8 MB; beyond it a shuffled join does the same.
+BROADCAST_ROWS = 200_000
 #: Words of 64 bits of a bitmap.
 WORDS = 96
 BLANK = " \t\r\f\x0b"

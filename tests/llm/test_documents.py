@@ -265,6 +265,13 @@ def test_line_buckets_of_every_depth(spark, rows):
     assert share[0] <= {7: 0.75, 8: 0.65, 11: 0.35, 14: 0.15, 20: 0.06}[rows]
 
 
+def test_line_tables_that_are_broadcast(spark):
+    """The driver holds what is broadcast, so tables of more than some 8 MB are shuffled."""
+    texts = spark.createDataFrame([(1, "a")], "key long, line string")
+    plan = lambda n: texts.join(line_dedup._small(texts.select("key"), n), "key")._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan(200_000) and "strategy=broadcast" not in plan(300_000)
+
+
 def test_lines_that_share_a_key(spark, monkeypatch):
     """Different lines of one key are told apart by the second."""
     monkeypatch.setattr(line_dedup, "_key", lambda line: line_dedup.F.pmod(line_dedup.F.xxhash64(line), line_dedup.F.lit(7)).alias("key"))
