@@ -73,8 +73,10 @@ FAR_BITS, UNSKETCHED = 36, 24
 HOT, PARTED = 400, 0.8
 #: Rows of two or three numbers sent to all tasks at once at most, some 8 MB; beyond it a shuffled join does the same.
 BROADCAST_ROWS = 200_000
-#: Words of 64 bits of a bitmap.
-WORDS = 96
+#: Characters of a line up to which its shingles are compared as one array; those of longer lines are rows.
+ARRAY = 1 << 18
+#: Words of 64 bits of a bitmap, and so many of them in a row of the first sums.
+WORDS, SLOTS = 96, 8
 BLANK = " \t\r\f\x0b"
 ANCHORED = rf"(?s)(?=(.{{{SHINGLE}}}))[^ \t\r\f\x0B\n]{{1,{STRIDE}}}"
 FIRST = -(1 << 63)
@@ -180,7 +182,7 @@ def signed(lines: DataFrame, rows: int, tiny: bool = True) -> DataFrame:
     bit = lambda k, up: F.shiftright(m[k], 8).bitwiseAND(1) * F.expr(f"shiftleft(1L, part + {up})")
     sketched = F.col("part") < SKETCHED_PARTS
     halves = [F.when(sketched, bit(k, 0).bitwiseOR(bit(k + 1, SKETCHED_PARTS))).otherwise(F.lit(0).cast("long")) for k in range(0, SKETCHED, 2)]
-    told = least.select(*own, "part", *[h.alias(n) for h, n in zip(halves, ("low", "high"), strict=True)], F.xxhash64("part", *m).alias("whole"), *[F.xxhash64(F.lit(k), "part", m[k]).alias(f"x{k}") for k in range(minima)])
+    told = least.select(*own, "part", *[h.alias(n) for h, n in zip(halves, ("low", "high"), strict=True)], *([F.when(F.col("len") <= TINY, F.xxhash64("part", *m)).alias("whole")] if tiny else []), *[F.xxhash64(F.lit(k), "part", m[k]).alias(f"x{k}") for k in range(minima)])
     bands = []
     for k in range(shape(rows) // BLOCKS if rows < DEEP else 0):
         places = random.Random(f"band {rows} {k}").sample(range(parts), parts)
@@ -220,15 +222,34 @@ def _near(left: Column, right: Column, length: Column) -> Column:
     return (length <= UNSKETCHED) | (differ("low") + differ("high") <= FAR_BITS)
 
 
+def _set(line: Column, cut: Callable[[Column], Column]) -> Column:
+    """The hashes of a line's distinct shingles."""
+    if cut is not every_shingle:
+        return F.array_distinct(F.transform(cut(line), lambda x: F.xxhash64(x)))
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.length(line) - CHARACTERS))
+    each = lambda units: F.transform(starts, lambda i: F.xxhash64(F.substring(units, i * 4 + 1, F.lit(4 * CHARACTERS))))
+    # the array of one makes the code points a variable, which is computed once
+    return F.array_distinct(F.element_at(F.transform(F.array(F.encode(line, "UTF-32")), each), 1))
+
+
+def _long(texts: DataFrame) -> bool:
+    return (texts.agg(F.max(F.length("line")).alias("n")).first()["n"] or 0) > ARRAY
+
+
 def _verified(texts: DataFrame, pairs: DataFrame, percent: int, cut: Callable[[Column], Column]) -> DataFrame:
     """Pairs of keys whose whole shingle sets have 100 * intersection >= percent * union."""
     texts_of = lambda n: texts.select(F.col("key").alias(n), F.col("line").alias(f"line_{n}"))
-    # each pair's shingles stay in one task, and pairs that share a line are dealt apart
+    # pairs that share a line are dealt apart
     both = pairs.join(texts_of("a"), "a").join(texts_of("b"), "b").repartition("a", "b")
+    close = lambda s: F.size(F.array_intersect(s.x, s.y)).cast("long") * (100 + percent) >= (F.size(s.x).cast("long") + F.size(s.y)) * percent
+    alike = F.exists(F.array(F.struct(_set(F.col("line_a"), cut).alias("x"), _set(F.col("line_b"), cut).alias("y"))), close)
+    if not _long(texts):
+        return both.where(alike).select("a", "b")
+    short = F.greatest(F.length("line_a"), F.length("line_b")) <= ARRAY
     sides = F.array(F.struct(F.lit(1).alias("side"), F.col("line_a").alias("line")), F.struct(F.lit(2).alias("side"), F.col("line_b").alias("line")))
-    cuts, _ = _cut(both.select("a", "b", F.explode(sides).alias("s")).select("a", "b", "s.side", "s.line"), cut)
+    cuts, _ = _cut(both.where(~short).select("a", "b", F.explode(sides).alias("s")).select("a", "b", "s.side", "s.line"), cut)
     held = cuts.groupBy("a", "b", "h").agg(F.bit_or("side").alias("sides")).groupBy("a", "b").agg(F.count("*").alias("either"), F.count_if(F.col("sides") == 3).alias("common"))
-    return held.where(F.expr(f"100 * common >= {percent} * either")).select("a", "b")
+    return both.where(F.when(short, alike)).select("a", "b").unionByName(held.where(F.expr(f"100 * common >= {percent} * either")).select("a", "b"))
 
 
 def _texts(lines: DataFrame, keys: DataFrame) -> DataFrame:
@@ -239,10 +260,11 @@ def _texts(lines: DataFrame, keys: DataFrame) -> DataFrame:
 
 def _shared(told: DataFrame, kept: Scratch, label: str) -> DataFrame:
     """(bucket, b, sketch, len, a, hub): the lines of buckets with several, and the smallest key there with its sketch."""
-    bands = told.select(F.col("key").alias("b"), "sketch", "len", F.explode("buckets").alias("bucket"))
+    bands = told.select(F.col("key").alias("b"), F.explode("buckets").alias("bucket"))
     # most buckets hold one line: only their numbers are exchanged
     again = kept.publish(bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket"), f"{label}-again")
-    met = kept.publish(bands.join(_small(again, again.count()), "bucket"), f"{label}-met")
+    # the rest of a line follows for those that stay
+    met = kept.publish(bands.join(_small(again, again.count()), "bucket").join(told.select(F.col("key").alias("b"), "sketch", "len"), "b"), f"{label}-met")
     least = met.groupBy("bucket").agg(F.min(F.struct("b", "sketch")).alias("least")).select("bucket", F.col("least.b").alias("a"), F.col("least.sketch").alias("hub"))
     return met.join(least.select(F.when(F.col("bucket").isNotNull(), F.col("bucket")).alias("bucket"), "a", "hub"), "bucket")
 
@@ -303,18 +325,24 @@ def _rest(lines: DataFrame, shared: DataFrame, known: DataFrame, near: DataFrame
     shared_bits = sum((F.bit_count(F.col(f"w{k}_a").bitwiseAND(F.col(f"w{k}_b"))) for k in range(1, WORDS)), F.bit_count(F.col("w0_a").bitwiseAND(F.col("w0_b"))))
     # of a line's shingles at least so many are not the other's as its bits that the other lacks
     common = F.least(F.col("n_a") - F.col("bits_a"), F.col("n_b") - F.col("bits_b")) + shared_bits
-    meet = (F.col("l.bucket") == F.col("r.bucket")) & (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & (common * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent)
+    meet = (F.col("l.bucket") == F.col("r.bucket")) & (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent) & (common * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent)
     pairs = l.join(r, meet).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(near, ["a", "b"], "left_anti")
     return kept.publish(_verified(texts, kept.publish(pairs, "line-rest"), percent, cut), "line-links")
 
 
 def _bitmaps(texts: DataFrame, cut: Callable[[Column], Column]) -> DataFrame:
     """(key, n, bits, w0, ...): a line's number of distinct shingles, and the bits that their hashes set."""
-    cuts, _ = _cut(texts.repartition("key"), cut)
-    each = cuts.select("key", "h").distinct()
+    dealt = texts.repartition("key")
+    short = F.length("line") <= ARRAY
+    each = dealt.where(short).select("key", F.explode(_set(F.col("line"), cut)).alias("h"))
+    if _long(texts):
+        each = each.unionByName(_cut(dealt.where(~short), cut)[0].select("key", "h").distinct())
     bit = F.expr("shiftleft(1L, int(shiftright(h, 40) & 63))")
-    words = each.groupBy("key", F.pmod("h", F.lit(WORDS)).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits"), F.count("*").alias("n"))
-    maps = words.groupBy("key").agg(F.sum("n").cast("int").alias("n"), F.sum(F.bit_count("bits")).cast("int").alias("bits"), *[F.coalesce(F.max(F.when(F.col("word") == k, F.col("bits"))), F.lit(0)).cast("long").alias(f"w{k}") for k in range(WORDS)])
+    # few columns for the many shingles, all of them for few rows
+    word = F.pmod("h", F.lit(WORDS)).cast("int")
+    slots = each.groupBy("key", F.floor(word / SLOTS).cast("int").alias("place")).agg(F.count("*").alias("n"), *[F.coalesce(F.bit_or(F.when(word % SLOTS == k, bit)), F.lit(0)).cast("long").alias(f"s{k}") for k in range(SLOTS)])
+    bits = sum((F.bit_count(f"s{k}") for k in range(1, SLOTS)), F.bit_count("s0"))
+    maps = slots.groupBy("key").agg(F.sum("n").cast("int").alias("n"), F.sum(bits).cast("int").alias("bits"), *[F.coalesce(F.max(F.when(F.col("place") == k // SLOTS, F.col(f"s{k % SLOTS}"))), F.lit(0)).cast("long").alias(f"w{k}") for k in range(WORDS)])
     return maps
 
 

@@ -265,6 +265,22 @@ def test_line_buckets_of_every_depth(spark, rows):
     assert share[0] <= {7: 0.75, 8: 0.65, 11: 0.35, 14: 0.15, 20: 0.06}[rows]
 
 
+@pytest.mark.parametrize("array", [1 << 18, 70])
+def test_line_pairs_as_arrays_and_rows(spark, monkeypatch, array):
+    """Pairs of lines beyond ARRAY characters are compared as rows, with the same result."""
+    monkeypatch.setattr(line_dedup, "ARRAY", array)
+    rnd = random.Random(11)
+    pairs = pairs_near(rnd, 50, 0.7, 0.9, 20) + pairs_near(rnd, 120, 0.7, 0.9, 20) + [("abc", "abd"), ("x" * 200, "x" * 90)]
+    texts = spark.createDataFrame([(k, x) for k, x in enumerate(x for pair in pairs for x in pair)], "key long, line string")
+    keys = spark.createDataFrame([(2 * k, 2 * k + 1) for k in range(len(pairs))], "a long, b long")
+    sets = [[{x[k : k + 5] for k in range(max(1, len(x) - 4))} for x in pair] for pair in pairs]
+    want = {2 * k for k, (x, y) in enumerate(sets) if 100 * len(x & y) >= 80 * len(x | y)}
+    got = [r["a"] for r in line_dedup._verified(texts, keys, 80, line_dedup.every_shingle).collect()]
+    assert sorted(got) == sorted(want) and 0 < len(want) < len(pairs)
+    counts = {r["key"]: r["n"] for r in line_dedup._bitmaps(texts, line_dedup.every_shingle).collect()}
+    assert counts == {k: len(x) for k, x in enumerate(x for pair in sets for x in pair)}
+
+
 def test_line_tables_that_are_broadcast(spark):
     """The driver holds what is broadcast, so tables of more than some 8 MB are shuffled."""
     texts = spark.createDataFrame([(1, "a")], "key long, line string")
