@@ -217,6 +217,8 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text", names: tup
                 lang, score = own.predict(part.column(text).to_pylist())
                 bad = [x == UNKNOWN or s < own.reject_below for x, s in zip(lang, score.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lang, pa.string()), pa.array(score), pa.array(bad, pa.bool_())], [*part.schema.names, *names])
+        # the worker stays for a minute while other stages run
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, schema)
 
